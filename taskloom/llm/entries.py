@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, packing, quality, warc
+from . import bitplane, jaccard, packing, quality, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark, sf_dir):
     out = quality.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -25,8 +29,19 @@ def op10_warc_revisits(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_bitplane_tokens, op4_best_fit_packing, op9_quality_rules, op10_warc_revisits)}
+QUERIES = {f.__name__: f for f in (op1_bitplane_tokens, op4_best_fit_packing, op6_jaccard_join, op9_quality_rules, op10_warc_revisits)}
 ORACLE_SQL = {
+    "op6_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0),
+        n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY 1),
+        i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n r ON r.doc_id = b WHERE 100 * i.c >= 75 * (p.c + r.c - i.c)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        k(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, k.c FROM k JOIN e ON e.a = k.doc_id)
+        SELECT d.doc_id, CAST(coalesce(any_value(n.c), 0) AS BIGINT) AS n_shingles, min(k.c) AS component_id
+        FROM documents d JOIN k ON k.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
     "op10_warc_revisits": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
         f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
