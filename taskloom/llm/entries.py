@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jaccard, packing, quality, warc
+from . import bitplane, jaccard, packing, quality, suffix, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(spark, table(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op10_warc_revisits(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_bitplane_tokens, op4_best_fit_packing, op6_jaccard_join, op9_quality_rules, op10_warc_revisits)}
+QUERIES = {f.__name__: f for f in (op1_bitplane_tokens, op4_best_fit_packing, op5_suffix_dedup, op6_jaccard_join, op9_quality_rules, op10_warc_revisits)}
 ORACLE_SQL = {
     "op6_jaccard_join": """
         WITH RECURSIVE w AS (
