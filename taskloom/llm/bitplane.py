@@ -19,8 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, discard, materialize, reading, scratch, writing
-from .encode import Encoder
+from .common import batches, discard, materialize, reading, scratch, slices, writing
+from .encode import encoder as shared_encoder
 
 MAGIC = b"BITPLN01"
 
@@ -107,7 +107,7 @@ def read_documents(stream) -> Iterator[tuple[int | None, np.ndarray]]:
     """(document id, ids) in file order; holds one block and one document at a time."""
     index = read_index(stream)
     kind, first = str(index["kind"][0]), np.concatenate([[0], np.cumsum(index["planes"])])
-    held, have, block = [], 0, 0
+    line, at, block = np.empty(0, np.uint32), 0, 0
 
     def more() -> np.ndarray:
         nonlocal block
@@ -118,12 +118,10 @@ def read_documents(stream) -> Iterator[tuple[int | None, np.ndarray]]:
         return ids
 
     for name, absent, n in zip(index["doc_id"].tolist(), index["absent"].tolist(), index["n_ids"].tolist()):
-        while have < n:
-            held.append(more())
-            have += len(held[-1])
-        line = np.concatenate(held) if held else np.empty(0, np.uint32)
-        held, have = [line[n:]], have - n
-        yield None if absent else name, line[:n]
+        while len(line) - at < n:
+            line, at = np.concatenate([line[at:], more()]), 0
+        yield None if absent else name, line[at : at + n].copy()
+        at += n
 
 
 def read_one(stream, position: int) -> np.ndarray:
@@ -143,7 +141,7 @@ def read_one(stream, position: int) -> np.ndarray:
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, block_ids: int = 1 << 16, planes: str = "bit", text_bytes: int = 4 << 20
+    docs: DataFrame, folder: str, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, block_ids: int = 1 << 16, planes: str = "byte", text_bytes: int = 4 << 20
 ) -> DataFrame:
     """Encode `text` of docs (doc_id, text, any others) and write one file per range of doc_id under folder.
 
@@ -160,11 +158,10 @@ def write_token_files(
         encoder, first, path = None, [], f"{folder}/ids-{TaskContext.get().partitionId():06d}.bitplanes"
 
         def documents():
-            flat = (row for b in parts for row in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()))
-            for held in batches(flat, text_bytes, lambda r: len(r[1]) + 64):
-                ids, sizes = encoder.encode_batch([t for _, t in held])
+            for held in (h for b in parts for h in slices(b, text_bytes)):
+                ids, sizes = encoder.encode_batch(held.column("text"))
                 ends = np.cumsum(sizes)
-                for (name, _), n, end in zip(held, sizes.tolist(), ends.tolist()):
+                for name, n, end in zip(held.column("doc_id").to_pylist(), sizes.tolist(), ends.tolist()):
                     if not first:
                         first.append(name)
                     yield name, np.append(ids[end - n : end], np.uint32(end_id))
@@ -174,7 +171,7 @@ def write_token_files(
             head = next(parts, None)
         if head is None:
             return
-        rest, encoder = parts, Encoder(vocabulary)
+        rest, encoder = parts, shared_encoder(vocabulary)
 
         def chained(head=head, rest=rest):
             yield head

@@ -95,3 +95,17 @@ def batches(rows, limit: int, weight):
             held, total = [], 0
     if held:
         yield held
+
+
+def slices(batch, limit: int, column: str = "text"):
+    """Slices of an Arrow batch with about `limit` bytes of text each (more where one text has more)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False) + 64
+    part = np.cumsum(sizes) // limit
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(edges[:-1], edges[1:]):
+        yield batch.slice(low, high - low)

@@ -6,18 +6,21 @@ the ids of its runs one after another; the runs follow a Zipf law and most are f
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_RUNS = re.compile(r"[^ \t\n\r]+")
-_NOT_SPACE_FOR_ALL = re.compile("[\x0b\x0c\x1c-\x1f\x85]")
-#: Letters whose lower case and normal form never depend on what stands beside them, then at most one mark.
-_PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)")
+#: Letters whose lower case and normal form never depend on what stands beside them, then marks that make one token.
+_PARTS = r"^(?P<letters>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+_LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 _PROBES = ["Plain", "the", "\xc9COLE", "stra\xdfe", "na\xefve", "abcdefghijklmnop", "x"]
 
 
@@ -37,24 +40,16 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def runs(text: str) -> list[str]:
-    """The white-space-free runs of text; characters that only Python takes for white space do not cut."""
-    return _RUNS.findall(text) if _NOT_SPACE_FOR_ALL.search(text) else text.split()
-
-
 class Encoder:
     """encode_batch(texts) -> (ids uint32 of all texts, one after another; number of ids of each text)."""
 
-    def __init__(self, vocabulary: str, cached_runs: int = 400_000):
+    def __init__(self, vocabulary: str, cached_runs: int = 350_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.cached_runs = cached_runs
         self.letters = _byte_letters()
-        self.mark = {m: self._whole([m])[0] for m in ",."} | {"": []}
-        self.plain = "Lowercase" in str(self.tokenizer.normalizer) and all(
-            self._plain(p) + self.mark[m] == self._whole([p + m])[0] for p in _PROBES for m in ("", *",.")
-        )
+        self.plain = "Lowercase" in str(self.tokenizer.normalizer) and all(self._plain(p) + self._whole([m])[0] == self._whole([p + m])[0] for p in _PROBES for m in ("", ".", "***", '",'))
         self._reset()
 
     def _whole(self, words: list[str]) -> list[list[int]]:
@@ -70,14 +65,13 @@ class Encoder:
     def _encode(self, words: list[str]) -> list[list[int]]:
         if not self.plain:
             return self._whole(words)
-        tokenize, letters, mark, match = self.tokenizer.model.tokenize, self.letters, self.mark, _PLAIN.fullmatch
+        tokenize, letters, match = self.tokenizer.model.tokenize, self.letters, _LETTERS.fullmatch
         out, late = [], []
-        for k, word in enumerate(words):
-            if m := match(word):
-                text = m[1].lower()
+        for k, text in enumerate(words):
+            if match(text):
                 if not text.isascii():
                     text = text.encode().decode("latin-1").translate(letters)
-                out.append([t.id for t in tokenize(text)] + mark[m[2]])
+                out.append([t.id for t in tokenize(text)])
             else:
                 late.append(k)
                 out.append(None)
@@ -88,12 +82,30 @@ class Encoder:
     def _reset(self) -> None:
         self.code: dict[str, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.start, self.size, self.hits = (np.zeros(1 << 14, np.int64) for _ in range(3))
         self.used = 0
 
+    def _make_room(self) -> None:
+        """Keep the most often used third of the runs, if their ids are not too many."""
+        n = len(self.code)
+        order = np.argsort(-self.hits[:n], kind="stable")[: self.cached_runs // 3]
+        order = np.sort(order[np.cumsum(self.size[order]) <= 4 * self.cached_runs])
+        names, sizes, hits = list(self.code), self.size[order], self.hits[order]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.start[order] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        flat = self.flat[at]
+        self._reset()
+        self.code = {names[k]: i for i, k in enumerate(order.tolist())}
+        self.flat = np.concatenate([flat, self.flat])
+        self.start, self.size, self.hits = (np.concatenate([x, np.zeros(1 << 14, np.int64)]) for x in (ends - sizes, sizes, hits // 2))
+        self.used = len(flat)
+
     def _learn(self, new: list[str]) -> None:
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists that live briefly
         got = self._encode(new)
+        if collecting:
+            gc.enable()
         sizes = np.fromiter(map(len, got), np.int64, len(got))
         ids = np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum()))
         n, m = len(self.code), len(new)
@@ -102,28 +114,32 @@ class Encoder:
         while n + m > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+            self.hits = np.concatenate([self.hits, np.zeros_like(self.hits)])
         self.flat[self.used : self.used + len(ids)] = ids
         self.size[n : n + m] = sizes
         self.start[n : n + m] = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
         self.code.update(zip(new, range(n, n + m)))
 
-    def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_batch(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.code) > self.cached_runs or self.used > 16 * self.cached_runs:
-            self._reset()
-        words: list[str] = []
-        count = np.zeros(len(texts) + 1, np.int64)
-        for k, text in enumerate(texts):
-            if text:
-                words += runs(text)
-            count[k + 1] = len(words)
-        if not words:
+            self._make_room()
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        cut = pc.ascii_split_whitespace(texts)
+        count = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        if not len(coded):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        new = set(words)
-        new.difference_update(self.code)
-        if new:
-            self._learn(list(new))
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        index, words = coded.indices.to_numpy(), coded.dictionary
+        if self.plain:
+            parts = pc.extract_regex(words, _PARTS)
+            plain = pc.is_valid(parts)
+            base = pc.if_else(plain, pc.utf8_lower(pc.struct_field(parts, "letters")), words)
+            mark = pc.if_else(plain, pc.struct_field(parts, "marks"), "")
+            codes = np.stack([self._codes(base), self._codes(mark)], axis=1)[index].reshape(-1)
+            count = 2 * count
+        else:
+            codes = self._codes(words)[index]
         sizes = self.size[codes]
         ends = np.cumsum(sizes)
         total = int(ends[-1])
@@ -131,3 +147,23 @@ class Encoder:
         at += np.arange(total)
         upto = np.concatenate([[0], ends])[count]
         return self.flat[at], np.diff(upto)
+
+
+    def _codes(self, words: pa.Array) -> np.ndarray:
+        """Places of words in the cache, which learns those it does not have."""
+        coded = words.dictionary_encode()
+        names, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        codes = np.fromiter(map(self.code.get, names, repeat(-1)), np.int64, len(names))
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            first = len(self.code)
+            self._learn([names[k] for k in missing.tolist()])
+            codes[missing] = np.arange(first, first + len(missing))
+        self.hits[codes] += 1
+        return codes[index]
+
+
+@lru_cache(maxsize=2)
+def encoder(vocabulary: str) -> Encoder:
+    """The process's encoder: Python workers serve many tasks, and the next one finds the cache filled."""
+    return Encoder(vocabulary)

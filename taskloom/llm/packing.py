@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, materialize, scratch
-from .encode import Encoder
+from .common import materialize, scratch, slices
+from .encode import encoder as shared_encoder
 
 
 def cut_pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int, text_bytes: int = 4 << 20) -> DataFrame:
@@ -27,11 +27,11 @@ def cut_pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int, tex
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for b in parts:
-            for held in batches(zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()), text_bytes, lambda r: len(r[1]) + 64):
-                encoder = encoder or Encoder(vocabulary)
-                ids, sizes = encoder.encode_batch([t for _, t in held])
+            for held in slices(b, text_bytes):
+                encoder = encoder or shared_encoder(vocabulary)
+                ids, sizes = encoder.encode_batch(held.column("text"))
                 ends, rows = np.cumsum(sizes).tolist(), []
-                for (name, _), n, end in zip(held, sizes.tolist(), ends):
+                for name, n, end in zip(held.column("doc_id").to_pylist(), sizes.tolist(), ends):
                     line = np.append(ids[end - n : end], np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, n + 1, capacity)):
                         piece = line[start : start + capacity]
