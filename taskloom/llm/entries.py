@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jaccard, packing, quality, suffix, warc
+from . import bitplane, jaccard, lines, packing, quality, suffix, warc
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op6_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark, sf_dir):
+    out = lines.dedupe_lines(spark, table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_quality_rules(spark, sf_dir):
     out = quality.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -33,7 +38,7 @@ def op10_warc_revisits(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_bitplane_tokens, op4_best_fit_packing, op5_suffix_dedup, op6_jaccard_join, op9_quality_rules, op10_warc_revisits)}
+QUERIES = {f.__name__: f for f in (op1_bitplane_tokens, op4_best_fit_packing, op5_suffix_dedup, op6_jaccard_join, op7_line_dedup, op9_quality_rules, op10_warc_revisits)}
 ORACLE_SQL = {
     "op6_jaccard_join": """
         WITH RECURSIVE w AS (
