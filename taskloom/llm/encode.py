@@ -121,25 +121,38 @@ class Encoder:
         self.used += len(ids)
         self.code.update(zip(new, range(n, n + m)))
 
-    def encode_batch(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _cut(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cache places of each run, one or two; bytes of each run; runs before each text and in all)."""
         if len(self.code) > self.cached_runs or self.used > 16 * self.cached_runs:
             self._make_room()
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         cut = pc.ascii_split_whitespace(texts)
         count = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
         coded = cut.flatten().dictionary_encode()
-        if not len(coded):
-            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         index, words = coded.indices.to_numpy(), coded.dictionary
         if self.plain:
             parts = pc.extract_regex(words, _PARTS)
             plain = pc.is_valid(parts)
             base = pc.if_else(plain, pc.utf8_lower(pc.struct_field(parts, "letters")), words)
             mark = pc.if_else(plain, pc.struct_field(parts, "marks"), "")
-            codes = np.stack([self._codes(base), self._codes(mark)], axis=1)[index].reshape(-1)
-            count = 2 * count
+            codes = np.stack([self._codes(base), self._codes(mark)], axis=1)
         else:
-            codes = self._codes(words)[index]
+            codes = self._codes(words)[:, None]
+        return codes[index], pc.binary_length(words).to_numpy(zero_copy_only=False)[index], count
+
+    def run_sizes(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each run of all texts, number of runs of each text)."""
+        codes, lengths, count = self._cut(texts)
+        some = lengths > 0  # white space at an end of a text leaves an empty run
+        upto = np.concatenate([[0], np.cumsum(some)])[count]
+        return self.size[codes].sum(axis=1)[some], np.diff(upto)
+
+    def encode_batch(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        codes, _, count = self._cut(texts)
+        if not len(codes):
+            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+        count = count * codes.shape[1]
+        codes = codes.reshape(-1)
         sizes = self.size[codes]
         ends = np.cumsum(sizes)
         total = int(ends[-1])
@@ -148,7 +161,6 @@ class Encoder:
         upto = np.concatenate([[0], ends])[count]
         return self.flat[at], np.diff(upto)
 
-
     def _codes(self, words: pa.Array) -> np.ndarray:
         """Places of words in the cache, which learns those it does not have."""
         coded = words.dictionary_encode()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jaccard, lines, packing, quality, suffix, warc
+from . import bitplane, editcount, jaccard, lines, packing, pll, quality, suffix, tiling, warc
 from .common import table
 
 
@@ -12,6 +12,14 @@ def op1_bitplane_tokens(spark, sf_dir):
     return bitplane.bitplane_tokens(spark, table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_masked_likelihood(spark, sf_dir):
+    return pll.pseudo_likelihood(spark, table(spark, sf_dir, "documents"))
+
+
+def op3_string_tiling(spark, sf_dir):
+    return tiling.tile_coverage(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
 
@@ -29,6 +37,10 @@ def op7_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op8_edit_counts(spark, sf_dir):
+    return editcount.count_under_edits(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark, sf_dir):
     out = quality.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -38,7 +50,11 @@ def op10_warc_revisits(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_bitplane_tokens, op4_best_fit_packing, op5_suffix_dedup, op6_jaccard_join, op7_line_dedup, op9_quality_rules, op10_warc_revisits)}
+_ALL = (
+    op1_bitplane_tokens, op2_masked_likelihood, op3_string_tiling, op4_best_fit_packing, op5_suffix_dedup,
+    op6_jaccard_join, op7_line_dedup, op8_edit_counts, op9_quality_rules, op10_warc_revisits,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLE_SQL = {
     "op6_jaccard_join": """
         WITH RECURSIVE w AS (

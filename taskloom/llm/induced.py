@@ -48,20 +48,24 @@ class RadixQueue:
             self.spilled += 1
         self.held = 0
 
-    def pop(self, key: int):
-        """The next block of a key, or None."""
+    def pop(self, key: int, most: int = 1 << 20):
+        """The next tuples of a key, or None: a stored block, or the blocks in memory up to about `most` tuples."""
         parts = self.blocks.get(key)
         if not parts:
             return None
-        part = parts.pop(0)
-        if isinstance(part, str):
-            with np.load(part) as stored:
+        if isinstance(parts[0], str):
+            name = parts.pop(0)
+            with np.load(name) as stored:
                 out = stored["p"], stored["c"]
-            os.remove(part)
+            os.remove(name)
             return out
-        self.held -= part[0].nbytes + part[1].nbytes
-        return part
-
+        n = size = 0
+        while n < len(parts) and not isinstance(parts[n], str) and (n == 0 or size < most):
+            size += len(parts[n][0])
+            n += 1
+        taken, parts[:n] = parts[:n], []
+        self.held -= sum(p.nbytes + c.nbytes for p, c in taken)
+        return taken[0] if n == 1 else (np.concatenate([p for p, _ in taken]), np.concatenate([c for _, c in taken]))
 
     def pop_last(self, key: int):
         """The last block of a key, or None."""
@@ -236,24 +240,35 @@ def common_prefixes(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.nd
     return np.minimum(out, limit)
 
 
+def _order(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by first, then second; marks of places in that order whose pair differs from the one before)."""
+    n = len(first)
+    bits = max(1, int(n + 1).bit_length())
+    if 3 * bits <= 64:  # pair and place fit one word: sort the words themselves
+        shift, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
+        words = (first.astype(np.uint64) << shift | second.astype(np.uint64)) << shift | np.arange(n, dtype=np.uint64)
+        words.sort()
+        order, pair = (words & mask).astype(np.int64), words >> shift
+    else:
+        pair = first * (n + 2) + second
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+    return order, np.r_[True, pair[1:] != pair[:-1]]
+
+
 def double_prefixes(names: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of a string of names by their first `depth` names, ranks doubling their reach."""
+    """Order of the suffixes of a string of names (0 to n - 1) by their first `depth` names, ranks doubling their reach."""
     n = len(names)
-    _, rank = np.unique(names, return_inverse=True)
-    rank, reach = rank.reshape(-1).astype(np.int64) + 1, 1
+    rank, reach = names + 1, 1
     while True:
         following = np.zeros(n, np.int64)
         following[: max(0, n - reach)] = rank[reach:]
-        order = np.argsort(rank * (n + 2) + following, kind="stable")
-        if reach >= depth:
+        order, new = _order(rank, following)
+        reach *= 2
+        if reach >= depth or new.all():
             return order
-        key = rank[order] * (n + 2) + following[order]
-        new = np.cumsum(np.r_[1, key[1:] != key[:-1]])
         rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n:
-            return order
-        reach *= 2
+        rank[order] = np.cumsum(new)
 
 
 def sorted_seeds(text: np.ndarray, small: np.ndarray, lms: np.ndarray, limit: int, folder: str | None, memory: int, base_case: int) -> np.ndarray:
@@ -278,7 +293,8 @@ def sorted_seeds(text: np.ndarray, small: np.ndarray, lms: np.ndarray, limit: in
     names = np.empty(len(lms), np.int64)
     names[rank[order]] = name
     if len(names) <= base_case:
-        return lms[double_prefixes(names, limit)]
+        # as many names as may be needed for `limit` characters
+        return lms[double_prefixes(names, int((np.searchsorted(lms, lms + limit) - np.arange(len(lms))).max()) + 1)]
     inner_small, inner = classify(names)
     seeds = sorted_seeds(names, inner_small, inner, limit, folder, memory, base_case)
     parts = [p for p, _ in induce(names, inner_small, seeds, np.zeros(len(seeds), np.uint8), 1, folder, memory)]

@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, discard, materialize, scratch
+from .common import discard, materialize, scratch, slices
 from .components import connected_components
+from .words import hashed_words
 
 U = np.uint64
 SMALL = 64  # bands of sets up to this size index deletions from the start
@@ -39,41 +40,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of the word n-grams of a text; fewer words give one hash of them all."""
+    """Sorted distinct 64-bit hashes of the word n-grams of texts; fewer words give one hash of them all."""
 
-    def __init__(self, n: int = 5, cached_words: int = 500_000):
-        import xxhash
-
-        self.hash, self.n, self.cached_words = xxhash.xxh3_64_intdigest, n, cached_words
+    def __init__(self, n: int = 5):
+        self.n = n
         self.odd = np.random.default_rng(11).integers(1, 2**63, n, dtype=np.uint64) * U(2) + U(1)
-        self.words: dict[bytes, int] = {}
-
-    def codes(self, text: str | None) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        known, new = self.words, self.hash
-        if len(known) > self.cached_words:
-            known.clear()
-        out = []
-        for w in words:
-            code = known.get(w)
-            if code is None:
-                code = known[w] = new(w)
-            out.append(code)
-        return np.array(out, np.uint64)
-
-    def grams(self, text: str | None) -> np.ndarray:
-        """Hashes of all n-grams in order, repeats included."""
-        words = self.codes(text)
-        n = min(self.n, len(words))
-        if n == 0:
-            return words
-        total = np.full(len(words) - n + 1, U(n) * U(0x9E3779B97F4A7C15))
+
+    def _mixed(self, words: np.ndarray, n: int) -> np.ndarray:
+        total = np.full(max(0, len(words) - n + 1), U(n) * U(0x9E3779B97F4A7C15))
         for k in range(n):
             total += words[k : k + len(total)] * self.odd[k]
         return mix(total)
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        return np.unique(self.grams(text))
+    def __call__(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        flat, ends = hashed_words(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        grams, out = self._mixed(flat, self.n), []
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            if b - a >= self.n:
+                out.append(np.unique(grams[a : b - self.n + 1]))
+            else:
+                out.append(self._mixed(flat[a:b], b - a) if b > a else flat[:0])
+        return out
 
 
 class Scheme:
@@ -203,27 +190,28 @@ def short_of_segments(sets: list[np.ndarray], scheme: Scheme) -> int:
     return found
 
 
-def _texts(parts: Iterator[pa.RecordBatch], size: int = 4 << 20):
+def _sets(parts: Iterator[pa.RecordBatch], n: int, size: int = 1 << 20):
+    """(doc_ids, sets) of a few texts after another."""
+    shingler = Shingler(n)
     for b in parts:
-        yield from batches(zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()), size, lambda r: len(r[1] or "") + 64)
+        for held in slices(b, size):
+            yield held.column("doc_id").to_pylist(), shingler(held.column("text"))
 
 
 def describe(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
     """doc_id, n_shingles, key, check (two hashes of the set), short (bit set of bands), often (frequent n-grams of the batch)."""
 
     def run(parts):
-        shingler = Shingler(n)
-        for held in _texts(parts):
-            sets = [shingler(t) for _, t in held]
+        for names, sets in _sets(parts, n, 3 << 20):
             keys = [int(mix(s).sum(dtype=U)) if len(s) else 0 for s in sets]
             checks = [int(np.bitwise_xor.reduce(mix(s + U(1)))) if len(s) else 0 for s in sets]
             short = short_of_segments([s for s in sets if len(s)], scheme)
             hashes, times = np.unique(np.concatenate(sets), return_counts=True)
-            often = hashes[times >= max(4, len(sets) / 100)]
-            first = [(short, often.view(np.int64).tolist())] + [(0, None)] * (len(held) - 1)
+            often = hashes[times >= max(3, len(sets) / 300)]
+            first = [(short, often.view(np.int64).tolist())] + [(0, None)] * (len(sets) - 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([d for d, _ in held], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(np.array(keys, U).view(np.int64)), pa.array(np.array(checks, U).view(np.int64)),
+                    pa.array(names, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(np.array(keys, U).view(np.int64)), pa.array(np.array(checks, U).view(np.int64)),
                     pa.array([x for x, _ in first], pa.int64()), pa.array([x for _, x in first], pa.list_(pa.int64())),
                 ],
                 ["doc_id", "n_shingles", "key", "check", "short", "often"],
@@ -235,32 +223,40 @@ def describe(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
 def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, deep: int, buckets: int) -> DataFrame:
     """bucket, keys, sizes, owner, sig, flags: the packed entries of one batch of documents for one bucket."""
 
+    def pack(waiting):
+        shift = np.cumsum([0, *(len(w[0]) for w in waiting)])
+        keys, sizes, owner, sig, flags = (np.concatenate(x) for x in zip(*((k, n, o + d, s, f) for (k, n, o, s, f), d in zip(waiting, shift))))
+        bucket = (sig >> U(32)) % U(buckets)
+        order = np.argsort(bucket.astype(np.uint16 if buckets <= 65536 else np.uint32), kind="stable")
+        owner, sig, flags, bucket = owner[order].astype(np.uint32), (sig[order] & U(0xFFFFFFFF)).astype(np.uint32), flags[order], bucket[order]
+        edges = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1, append=-1))
+        rows = []
+        for low, high in zip(edges[:-1], edges[1:]):
+            own, local = np.unique(owner[low:high], return_inverse=True)
+            wide = np.uint16 if len(own) <= 65536 else np.uint32
+            rows.append((int(bucket[low]), keys[own].tobytes(), sizes[own].tobytes(), local.astype(wide).tobytes(), sig[low:high].tobytes(), flags[low:high].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 5))], ["bucket", "keys", "sizes", "owner", "sig", "flags"])
+
     def run(parts):
-        shingler, seen = Shingler(n), set()
-        for held in _texts(parts):
+        seen, waiting, pending = set(), [], 0
+        for _, found in _sets(parts, n):
             sets, keys = [], []
-            for _, text in held:
-                s = shingler(text)
+            for s in found:
                 key = int(mix(s).sum(dtype=U)) if len(s) else 0
                 if len(s) and key not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(key)
                     sets.append(s)
                     keys.append(key)
-            if not sets:
-                continue
-            owner, sig, flags = emit(sets, scheme, frequent, deep)
-            bucket = (sig >> U(32)) % U(buckets)
-            order = np.argsort(bucket.astype(np.uint16 if buckets <= 65536 else np.uint32), kind="stable")
-            owner, sig, flags, bucket = owner[order].astype(np.uint32), (sig[order] & U(0xFFFFFFFF)).astype(np.uint32), flags[order].astype(np.uint8), bucket[order]
-            keys, sizes = np.array(keys, U), np.fromiter(map(len, sets), np.uint32, len(sets))
-            edges = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1, append=-1))
-            rows = []
-            for low, high in zip(edges[:-1], edges[1:]):
-                own, local = np.unique(owner[low:high], return_inverse=True)
-                wide = np.uint16 if len(own) <= 65536 else np.uint32
-                rows.append((int(bucket[low]), keys[own].tobytes(), sizes[own].tobytes(), local.astype(wide).tobytes(), sig[low:high].tobytes(), flags[low:high].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 5))], ["bucket", "keys", "sizes", "owner", "sig", "flags"])
+            if sets:
+                owner, sig, flags = emit(sets, scheme, frequent, deep)
+                waiting.append((np.array(keys, U), np.fromiter(map(len, sets), np.uint32, len(sets)), owner, sig, flags.astype(np.uint8)))
+                pending += len(sig)
+            if pending >= 500_000:
+                yield pack(waiting)
+                waiting, pending = [], 0
+        if waiting:
+            yield pack(waiting)
 
     return docs.mapInArrow(run, "bucket int, keys binary, sizes binary, owner binary, sig binary, flags binary")
 
@@ -306,8 +302,37 @@ def meet(entries: DataFrame, buckets: int) -> DataFrame:
     return entries.repartition(buckets, "bucket").mapInArrow(run, "group long, member long, size long, flags int")
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """Parities of the number of elements in each of 2^(band + 2) cells, as bits."""
+    cells = 1 << max(3, int(len(members)).bit_length() + 1)
+    odd = np.bincount((mix(members ^ U(0x5851F42D4C957F2D)) & U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs (a, b) that may have J >= p / q: cells of different parity never outnumber differing elements."""
+
+    def run(parts):
+        for b in parts:
+            a, c = b.column("a").to_pylist(), b.column("b").to_pylist()
+            keep = []
+            for k, (x, y, m, n) in enumerate(zip(*(b.column(z).to_pylist() for z in ("sketch_a", "sketch_b", "n_a", "n_b")))):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                if len(x) > len(y):
+                    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+                elif len(y) > len(x):
+                    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+                if (p + q) * int(np.bitwise_count(x ^ y).sum()) <= (q - p) * (m + n):
+                    keep.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.int64()), pa.array([c[k] for k in keep], pa.int64())], ["a", "b"])
+
+    left, right = sets.selectExpr("key as a", "sketch as sketch_a", "n as n_a"), sets.selectExpr("key as b", "sketch as sketch_b", "n as n_b")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) whose sets have J >= p / q."""
+    pairs = materialize(plausible(pairs, sets.select("key", "n", "sketch"), p, q), scratch(pairs.sparkSession, "plausible"))
 
     def run(parts):
         for b in parts:
@@ -326,7 +351,7 @@ def verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int = 3, q: int = 4, entries_per_bucket: int = 1_500_000, small: int = 2_000_000) -> DataFrame:
+def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int = 3, q: int = 4, entries_per_bucket: int = 500_000, small: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text, any others); documents of J >= p / q link.
 
     Null texts and texts without words have the empty set and link with nothing, not even with each other. Rows that
@@ -340,8 +365,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
     facts = materialize(describe(rows, n, scheme), spots[0])
     short, total = facts.agg(F.expr("bit_or(short)"), F.sum("n_shingles")).first()
     deep = (short or 0) | (1 << (SMALL.bit_length() - 1)) - 1
-    # n-grams of a hundredth of a batch's documents, in a twentieth of all batches: a batch names few (its size over
-    # a hundredth of its documents), so twenty times that number bounds them, whatever the corpus
+    # n-grams of a three-hundredth of a batch's documents, in a twentieth of all batches: a batch names few (its size over
+    # a three-hundredth of its documents), so twenty times that number bounds them, whatever the corpus
     n_batches = facts.where("often is not null").count()
     often = facts.where("often is not null").select(F.explode("often").alias("h")).groupBy("h").count().where(F.col("count") >= max(2, n_batches // 20)).select("h")
     frequent = np.sort(np.array([r.h for r in often.collect()], np.int64).view(U))
@@ -355,13 +380,12 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
         wanted = F.broadcast(wanted)
 
     def sets_of(parts):
-        shingler = Shingler(n)
-        for held in _texts(parts):
-            sets = [shingler(t) for _, t in held]
+        for _, sets in _sets(parts, n):
             keys = np.array([int(mix(s).sum(dtype=U)) if len(s) else 0 for s in sets], U).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "members"])
+            columns = [pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "members", "n", "sketch"])
 
-    chosen = docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi").mapInArrow(sets_of, "key long, members binary").dropDuplicates(["key"])
+    chosen = docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi").mapInArrow(sets_of, "key long, members binary, n long, sketch binary").dropDuplicates(["key"])
     sets = materialize(chosen, spots[3])
     fits = F.expr(f"{p} * greatest(x.size, y.size) <= {q} * least(x.size, y.size) and ((x.flags | y.flags) & 3) = 3")
     # first one member of each signature with all others

@@ -227,7 +227,7 @@ def cut_outs(chosen: DataFrame, length: int, gram: int, frequent: np.ndarray, cl
 
 
 def sort_shards(pieces: DataFrame, length: int, shards: int, spill: str | None, memory: int) -> DataFrame:
-    """key, sid, hits: for each piece the numbers of its windows that another piece of its shard has."""
+    """key, sid, hits: first and last numbers (32 bits each) of the runs of a piece's windows that another piece has."""
 
     def run(parts):
         import os
@@ -251,14 +251,15 @@ def sort_shards(pieces: DataFrame, length: int, shards: int, spill: str | None,
             for (key, sid, piece), a in zip(alive, begins.tolist()):
                 hit = np.flatnonzero(found[a : a + len(piece) - length + 1])
                 if len(hit):
-                    rows.append((key, sid, hit.astype(np.int32).tolist()))
+                    cut = np.flatnonzero(np.diff(hit) > 1)
+                    rows.append((key, sid, np.stack([hit[np.r_[0, cut + 1]], hit[np.r_[cut, len(hit) - 1]]]).astype("<i4").tobytes()))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.int32())))], ["key", "sid", "hits"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["key", "sid", "hits"])
 
-    return pieces.repartition(shards, "shard").mapInArrow(run, "key long, sid long, hits array<int>")
+    return pieces.repartition(shards, "shard").mapInArrow(run, "key long, sid long, hits binary")
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200, gram: int = 64, shard_bytes: int = 8 << 20, memory: int = 1 << 27, small: int = 1_000_000) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200, gram: int = 64, shard_bytes: int = 4 << 20, memory: int = 1 << 27, small: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of docs (doc_id, text, any others).
 
     A byte goes if a string of `length` bytes around it starts anywhere else as well, in the same text or another.
@@ -302,9 +303,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200, gram
             for t1, t2, found, text in zip(*(b.column(c).to_pylist() for c in ("t1", "t2", "spans", "text"))):
                 edge = np.zeros(len(text) + 1, np.int64)
                 for s in found:
-                    at = s["start"] + (np.arange(s["windows"]) if s["all"] else np.array(s["hits"], np.int64))
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + length, -1)
+                    if s["all"]:
+                        edge[s["start"]] += 1
+                        edge[s["start"] + s["windows"] - 1 + length] -= 1
+                    else:
+                        low, high = np.frombuffer(s["hits"], "<i4").reshape(2, -1)
+                        np.add.at(edge, s["start"] + low, 1)
+                        np.add.at(edge, s["start"] + high + length, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 out.append((t1, t2, int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest(), kept))
