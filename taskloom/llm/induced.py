@@ -48,7 +48,7 @@ class RadixQueue:
             self.spilled += 1
         self.held = 0
 
-    def pop(self, key: int, most: int = 1 << 20):
+    def pop(self, key: int, most: int = 1 << 18):
         """The next tuples of a key, or None: a stored block, or the blocks in memory up to about `most` tuples."""
         parts = self.blocks.get(key)
         if not parts:
@@ -85,13 +85,11 @@ def classify(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(text)
     small = np.zeros(n, bool)
     if n > 1:
-        differ = np.flatnonzero(text[1:] != text[:-1])
-        rises = np.zeros(n, bool)
-        rises[differ] = text[differ + 1] > text[differ]
+        differ = np.flatnonzero(text[1:] != text[:-1]).astype(np.int32 if n < 2**31 else np.int64)
         # each position takes the answer of the next change; after the last one the end makes it L
-        after = np.searchsorted(differ, np.arange(n - 1))
-        known = after < len(differ)
-        small[:-1][known] = rises[differ[after[known]]]
+        spans = np.diff(differ, prepend=differ.dtype.type(-1))
+        known = np.repeat(text[differ + 1] > text[differ], spans)
+        small[: len(known)] = known
     return small, np.flatnonzero(small[1:] & ~small[:-1]) + 1
 
 
@@ -280,10 +278,9 @@ def sorted_seeds(text: np.ndarray, small: np.ndarray, lms: np.ndarray, limit: in
     is_lms[lms] = True
     blocks = [p[is_lms[p]] for p, _ in induce(text, small, by_char, np.zeros(len(lms), np.uint8), 1, folder, memory)]
     order = np.concatenate(blocks)[::-1]
-    rank = np.empty(len(text), np.int64)
-    rank[lms] = np.arange(len(lms))
+    rank = np.searchsorted(lms, order)
     end = np.r_[lms[1:] + 1, len(text)]  # a substring reaches the next left-most S suffix, included
-    size = (end - lms)[rank[order]]
+    size = (end - lms)[rank]
     shared = common_prefixes(text, order[:-1], order[1:], np.minimum(size[:-1], size[1:]))
     same = (size[:-1] == size[1:]) & (shared == size[1:])
     same &= (order[1:] != lms[-1]) & (order[:-1] != lms[-1])
@@ -291,7 +288,7 @@ def sorted_seeds(text: np.ndarray, small: np.ndarray, lms: np.ndarray, limit: in
     if name[-1] + 1 == len(lms):
         return order
     names = np.empty(len(lms), np.int64)
-    names[rank[order]] = name
+    names[rank] = name
     if len(names) <= base_case:
         # as many names as may be needed for `limit` characters
         return lms[double_prefixes(names, int((np.searchsorted(lms, lms + limit) - np.arange(len(lms))).max()) + 1)]

@@ -111,7 +111,7 @@ def anchor_entries(texts: DataFrame, length: int, gram: int, buckets: int) -> Da
             number = np.arange(len(who)) - np.searchsorted(who, who)
             ids = np.array([r[:2] for r in fresh], np.int64)
             keys, times = np.unique(key, return_counts=True)
-            often = keys[times >= max(8, len(fresh) / 50)].view(np.int64).tolist()
+            often = keys[times >= max(4, len(fresh) / 200)].view(np.int64).tolist()
             bucket = ((key >> U(20)) % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             who, number, key, bucket = who[order], number[order].astype(np.uint32), key[order], bucket[order]
@@ -276,7 +276,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200, gram
     long_ = rows.where(F.octet_length("text") >= length).select("t1", "t2", "text")
     buckets = int(max(8, total // (32 << 20) + 1))
     entries = materialize(anchor_entries(long_, length, gram, buckets), scratch(spark, "anchors"))
-    # anchors of a fiftieth of a batch's texts, in a twentieth of all batches: their number has a bound that no corpus moves
+    # anchors of a two-hundredth of a batch's texts, in a twentieth of all batches: their number has a bound that no corpus moves
     marked = entries.where("often is not null").select("often")
     least = max(2, marked.count() // 20)
     frequent = np.sort(np.array([r.h for r in marked.select(F.explode("often").alias("h")).groupBy("h").count().where(F.col("count") >= least).select("h").collect()], np.int64).view(U))
