@@ -1,8 +1,250 @@
-"""Named queries over the driver tables, each with the SQL that states the same."""
+"""Named queries over the driver tables, each with the SQL that states the same where SQL can."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import fixed, gates, metrics, minhash, text
+from ..functions.graphs import cycle_flag
+from ..operators import dedup
+from ..operators.mutations import resolve_severity
+from ..operators.solver import solution
+from ..operators.validation import validated_mutation
+from ..schema import SPEC
+from ..sources.projects import activities_of_orders, projects_of_orders
+from ..sources.staging import staged
+from . import batch
+from .oracle import ORACLE_SQL
 
 FLAGSHIP = "gate0_report"
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+
+
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def gate0_prefilter(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", gates.text_reason(F.col("text"), F.lit("TYPE-A")).alias("reason"))
+
+
+def gate0_report(spark, sf_dir):
+    reason = F.regexp_replace(F.coalesce(gates.text_reason(F.col("text"), F.lit("TYPE-A")), F.lit("pass")), r"\d+ words, ", "")
+    return documents(spark, sf_dir).select(reason.alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def project_metrics(spark, sf_dir):
+    g = projects_of_orders(spark, sf_dir)
+    return g.select("project", F.round("RF", 9).alias("rf"), F.round("RS", 9).alias("rs"), F.round(metrics.network_density(F.col("activities"), F.col("precedences")), 9).alias("density"), "difficulty")
+
+
+def structural_hash(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).select("project", "structural_hash")
+
+
+def difficulty_hist(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).groupBy("difficulty").agg(F.count("*").alias("n"))
+
+
+def critical_path(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).select("project", F.col("critical_path_length").cast("long").alias("critical_path_length"))
+
+
+def horizon(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).select("project", metrics.horizon(F.col("activities"), F.col("resources"), F.col("precedences")).cast("long").alias("horizon"))
+
+
+def distance_edges(spark, sf_dir):
+    """Edges of the distance graph relationally: explode, look both durations up, forward and backward weights."""
+    g = projects_of_orders(spark, sf_dir)
+    d = F.map_from_entries(F.transform("activities", lambda a: F.struct(a["id"], a["duration"])))
+    e = g.select("project", d.alias("d"), F.explode("precedences").alias("p")).select("project", "p.*", F.element_at("d", F.col("p.i")).alias("di"), F.element_at("d", F.col("p.j")).alias("dj"))
+    lo, hi, di, dj, kind = F.col("lag_min"), F.col("lag_max"), F.col("di"), F.col("dj"), F.col("relation")
+    forward = F.when(kind == "FS", di + lo).when(kind == "SS", lo).when(kind == "FF", di - dj + lo).when(kind == "SF", lo - dj)
+    backward = F.when(kind == "FS", -(di + hi)).when(kind == "SS", -hi).when(kind == "FF", dj - di - hi).when(kind == "SF", dj - hi)
+    there = e.select("project", F.col("i").alias("source"), F.col("j").alias("target"), forward.alias("weight"))
+    back = e.where("lag_max is not null").select("project", F.col("j").alias("source"), F.col("i").alias("target"), backward.alias("weight"))
+    return there.unionAll(back)
+
+
+def cycle_flags(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).select("project", cycle_flag(F.struct("activities", "precedences")).isNotNull().alias("infeasible"))
+
+
+def structure_text(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).select("project", text.structure_text(F.col).alias("body"))
+
+
+def graph_summary(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).select("project", text.graph_summary(F.col).alias("body"))
+
+
+def code_syntax(spark, sf_dir):
+    g = projects_of_orders(spark, sf_dir).select("project", text.program(F.col).alias("c"))
+    return g.select("project", gates.syntax_reason(F.col("c")).isNull().alias("compiles"))
+
+
+def gate1_structural(spark, sf_dir):
+    return projects_of_orders(spark, sf_dir).select("project", gates.structure_reason(F.col).alias("reason"))
+
+
+def _first_specs(g):
+    """A downtime on the resource of the first activity, its severity by the project number."""
+    level = F.element_at(F.array(*(F.lit(x) for x in fixed.LEVELS)), (F.col("project") % 4 + 1).cast("int"))
+    spec = F.struct(F.lit("reduce_capacity").alias("op"), F.element_at(F.map_keys(F.element_at("activities", 1)["demands"]), 1).alias("resource"), level.alias("severity"), F.lit("mid").alias("position"))
+    made = F.from_json(F.to_json(F.array(spec)), f"array<{SPEC}>")
+    return g.withColumn("specs", F.transform(made, lambda m: resolve_severity(m, F.col("resources"), F.col("critical_path_length"), F.col("project"))))
+
+
+def severity_numbers(spark, sf_dir):
+    s = _first_specs(projects_of_orders(spark, sf_dir)).select("project", F.element_at("specs", 1).alias("s"))
+    return s.select("project", "s.resource", "s.severity", "s.delta", (F.col("s.t_end") - F.col("s.t_start")).alias("length"), "s.t_start")
+
+
+def mutation_apply(spark, sf_dir):
+    """Graphs after their downtime, or why it is refused: windows and length of the log."""
+    g = _first_specs(projects_of_orders(spark, sf_dir))
+    done = g.select("project", validated_mutation(F.struct(*batch.GRAPH_COLUMNS), F.col("specs")).alias("made"))
+    windows = F.aggregate("made.graph.resources", F.lit(0), lambda n, r: n + F.size(r["downtime"]))
+    return done.select("project", F.col("made.reason").alias("reason"), windows.alias("n_windows"), F.size("made.graph.mutations_applied").alias("n_mutations"))
+
+
+def shingle_counts(spark, sf_dir):
+    return minhash.with_shingles(documents(spark, sf_dir), "text").select("doc_id", F.size("shingles").cast("long").alias("n_shingles"))
+
+
+def minhash_signature(spark, sf_dir):
+    """First four of the 128 positions."""
+    s = dedup.signatures(documents(spark, sf_dir), "doc_id", "text")
+    return s.select("doc_id", *(F.element_at("signature", k + 1).alias(f"p{k}") for k in range(4)))
+
+
+def minhash_bands(spark, sf_dir):
+    s = dedup.signatures(documents(spark, sf_dir), "doc_id", "text")
+    return s.select("doc_id", F.explode(minhash.bands(F.col("signature"))).alias("b")).select("doc_id", "b.band", "b.bucket")
+
+
+def lsh_pairs(spark, sf_dir):
+    return dedup.similar_pairs(staged(dedup.signatures(documents(spark, sf_dir), "doc_id", "text")), "doc_id")
+
+
+def greedy_dedup(spark, sf_dir):
+    """Ordered acceptance of documents by text alone (cells without a cap that binds)."""
+    d = documents(spark, sf_dir)
+    signed = staged(dedup.signatures(d, "doc_id", "text"))
+    links = dedup.expand_copies(dedup.similar_pairs(signed, "doc_id"), signed, "doc_id")
+    rows = d.select(F.col("doc_id").alias("seq"), F.sha2("text", 256).alias("hash"), F.col("lang").alias("cell"), F.lit(1 << 30).alias("cap"), F.col("doc_id").cast("string").alias("base_id"), F.lit("train").alias("split"))
+    return dedup.accept_in_order(rows, links)
+
+
+def exact_keys(spark, sf_dir):
+    g = _first_specs(projects_of_orders(spark, sf_dir))
+    return g.select("project", dedup.exact_key(F.col("instance_id"), F.col("specs")).alias("key"))
+
+
+def quota_hold(spark, sf_dir):
+    """Documents by cell (lang, source) in order of doc_id; a cell takes twenty."""
+    out = dedup.quota_reason(documents(spark, sf_dir).select("doc_id", "lang", "source"), ["lang", "source"], "doc_id", F.lit(20))
+    return out.select("doc_id", F.concat_ws("::", "lang", "source").alias("cell"), "n_before", "held")
+
+
+def split_leaks(spark, sf_dir):
+    """Order lines whose part is already in another split (by parity of the order) than that of its first line."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_partkey", F.when(F.col("l_orderkey") % 10 < 7, "train").otherwise("test").alias("split"))
+    return lines.groupBy("l_partkey").agg(F.count_distinct("split").alias("n_splits")).groupBy("n_splits").agg(F.count("*").alias("n"))
+
+
+def stratified_split(spark, sf_dir):
+    return dedup.stratified_split(documents(spark, sf_dir).select("doc_id", "lang"), "lang", "doc_id").select("doc_id", "split")
+
+
+def split_counts(spark, sf_dir):
+    return stratified_split(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n"))
+
+
+def expansion(spark, sf_dir):
+    return dedup.expand(stratified_split(spark, sf_dir), "doc_id", 3).select("doc_id", "split", "expansion", "question_type")
+
+
+def mode_requests(spark, sf_dir):
+    """Request rows grouped into the modes of a job, in the order of their number."""
+    acts = activities_of_orders(spark, sf_dir)
+    modes = acts.groupBy("project", "resource").agg(F.array_sort(F.collect_list(F.struct("id", "duration"))).alias("m"))
+    return modes.select("project", "resource", F.size("m").alias("n_modes"), F.array_min(F.transform("m", lambda x: x["duration"])).alias("least_duration"), F.element_at("m", 1)["duration"].alias("first_duration"))
+
+
+def gap_loss_weight(spark, sf_dir):
+    """Gap, approximation flag and loss weight from prices: the discounted price stands for the bound."""
+    l = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_extendedprice").alias("value"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("bound"), F.when(F.col("l_returnflag") == "N", "optimal").otherwise("feasible").alias("status"))
+    gap = metrics.gap_of(F.col("status"), F.col("value"), F.col("bound"))
+    l = l.withColumn("gap", gap).withColumn("approx", (F.col("status") == "feasible") & (F.col("gap") > 0.05))
+    return l.select("l_orderkey", "l_partkey", "l_linenumber", F.round("gap", 6).alias("gap"), "approx", F.round(metrics.loss_weight(F.col("gap"), F.col("approx")), 6).alias("loss_weight"))
+
+
+def solver_bounds(spark, sf_dir):
+    """Schedules of the projects of all orders of 1-URGENT priority."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderpriority = '1-URGENT'").select("o_orderkey")
+    g = projects_of_orders(spark, sf_dir).join(orders, F.col("project") == F.col("o_orderkey"), "left_semi")
+    s = g.select("project", solution(text.target_model(F.col), 1.0).alias("s"))
+    return s.select("project", "s.status", "s.objective", "s.best_bound")
+
+
+def first_failure(spark, sf_dir):
+    """Per order, the first failing line and its reason: the least position with a reason."""
+    acts = activities_of_orders(spark, sf_dir)
+    reason = F.when(F.col("demand") == 0, "no demand").when(F.col("duration") > 40, "too long")
+    bad = acts.withColumn("reason", reason).where("reason is not null")
+    return bad.groupBy("project").agg(F.min("id").alias("first_id"), F.min_by("reason", "id").alias("reason"))
+
+
+def resource_join(spark, sf_dir):
+    """Activities joined with resources by id, and those without: here R4 is withheld."""
+    acts = activities_of_orders(spark, sf_dir)
+    kinds = spark.createDataFrame([(k, v) for k, v in {"R1": 4, "R2": 3, "R3": 2}.items()], "rid string, capacity int")
+    joined = acts.join(F.broadcast(kinds), F.col("resource") == F.col("rid"), "left")  # three rows, fixed
+    return joined.groupBy("resource").agg(F.count("*").alias("n"), F.count("rid").alias("n_known"), F.coalesce(F.sum(F.when(F.col("demand") > F.col("capacity"), 1)), F.lit(0)).cast("long").alias("n_over"))
+
+
+def batch_stats(spark, sf_dir):
+    """Counts, cost and rate by status, as of a finished batch: orders stand for instances."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    n = F.count("*")
+    return o.groupBy("o_orderpriority").agg(
+        n.alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("accepted"), F.count_if(F.col("o_orderstatus") == "O").alias("rejected"),
+        F.round(F.count_if(F.col("o_orderstatus") == "F") / n, 4).alias("acceptance_rate"), F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")), 2).cast("double").alias("cost"),
+    )
+
+
+def call_costs(spark, sf_dir):
+    """Token cost of conversations as a call log: prompt words in, reply words out, by role."""
+    words = F.size(F.expr("filter(split(text, ' '), w -> w <> '')"))
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "role", words.alias("n"))
+    calls = c.groupBy("conv_id").agg(F.sum(F.when(F.col("role") == "user", F.col("n")).otherwise(0)).alias("tokens_in"), F.sum(F.when(F.col("role") == "assistant", F.col("n")).otherwise(0)).alias("tokens_out"))
+    return calls.withColumn("cost", F.round((F.col("tokens_in") * fixed.PRICE_IN + F.col("tokens_out") * fixed.PRICE_OUT) / 1000, 8))
+
+
+def quota_caps(spark, sf_dir):
+    """Accepted rows by cell against its cap, counting in order: rows of each order priority and status."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("level", F.when(F.col("o_orderstatus") == "F", "easy").when(F.col("o_orderstatus") == "O", "medium").otherwise("hard"))
+    w = Window.partitionBy("o_orderpriority", "level").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, -1)
+    held = o.withColumn("held", F.count("*").over(w) >= dedup.cell_cap(F.col("level"), 1000))
+    return held.groupBy("o_orderpriority", "level").agg(F.count("*").alias("n"), F.count_if("held").alias("n_held"))
+
+
+def batch_report(spark, sf_dir):
+    """The whole chain on the orders of 1-URGENT priority with at least four lines: labels of all candidates, as a report."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderpriority = '1-URGENT'").select("o_orderkey")
+    g = projects_of_orders(spark, sf_dir).join(orders, F.col("project") == F.col("o_orderkey"), "left_semi").where(F.size("activities") >= 6)
+    out = batch.report(batch.run_gates(spark, batch.candidates(g, copies=1, attempts=1), target=1000, seconds=1.0))
+    return out.withColumn("failures_by_gate", F.to_json("failures_by_gate"))
+
+
+_ALL = (
+    gate0_prefilter, gate0_report, project_metrics, structural_hash, difficulty_hist, critical_path, horizon, distance_edges, cycle_flags, structure_text, graph_summary, code_syntax,
+    gate1_structural, severity_numbers, mutation_apply, shingle_counts, minhash_signature, minhash_bands, lsh_pairs, greedy_dedup, exact_keys, quota_hold, split_leaks, stratified_split, split_counts,
+    expansion, mode_requests, gap_loss_weight, solver_bounds, first_failure, resource_join, batch_stats, call_costs, quota_caps, batch_report,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 
 def queries():
