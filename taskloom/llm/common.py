@@ -109,3 +109,8 @@ def slices(batch, limit: int, column: str = "text"):
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for low, high in zip(edges[:-1], edges[1:]):
         yield batch.slice(low, high - low)
+
+
+def positional(df):
+    """df with its columns named _col0, _col1, ... so that no name clashes with those of an operator; undo by toDF."""
+    return df.toDF(*(f"_col{k}" for k in range(len(df.columns))))

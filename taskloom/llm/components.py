@@ -1,7 +1,9 @@
-"""Connected components of an edge table by alternating large-star and small-star rounds (DataFrame operations only)."""
+"""Connected components of an edge table, and links inside groups of candidates (DataFrame operations only)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +35,38 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         if mark == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
         before = mark
+
+
+def link_in_groups(spark: SparkSession, groups: DataFrame, fits: Callable, check: Callable[[DataFrame], DataFrame], rounds: int = 3) -> DataFrame:
+    """Verified links (a, b) that connect all members who are connected by pairs of one group that pass `check`.
+
+    groups: group, member (long) and columns that fits(x, y) may use, names prefixed by x and y, to rule a pair out. All
+    pairs of a group are not made: in each round one member of every group, another one each time, is compared with
+    those it is not yet connected with; the pairs that are then still unconnected, few where a group is alike, are
+    compared to the last one. No pair is left out, and none is checked twice.
+    """
+    extra = [c for c in groups.columns if c not in ("group", "member")]
+    side = lambda df, s: df.toDF(*(c if c == "group" else s + c for c in df.columns))
+    links = tried = None
+    for turn in range(rounds + 1):
+        if links is None:
+            marked = groups.withColumn("root", F.col("member"))
+        else:
+            roots = connected_components(spark, links)
+            marked = groups.join(roots, F.col("member") == F.col("node"), "left").select("group", "member", *extra, F.coalesce("component", "member").alias("root"))
+        mixed = marked.groupBy("group").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1").where(F.lit(turn == 0) | (F.col("n") > 2))
+        open_ = materialize(marked.join(mixed.select("group"), "group"), scratch(spark, "open"))
+        if turn < rounds:
+            row = F.struct(*(F.col(c).alias("y" + c) for c in open_.columns if c != "group"))
+            other = open_.groupBy("group").agg(F.min_by(row, F.xxhash64("member", F.lit(turn))).alias("y")).select("group", "y.*")
+            pairs = side(open_, "x").join(other, "group").where((F.col("xroot") != F.col("yroot")) & fits("x", "y"))
+        else:
+            mine, other = side(open_, "x"), side(open_, "y").withColumnRenamed("group", "g")
+            pairs = mine.join(other, (F.col("group") == F.col("g")) & (F.col("xmember") < F.col("ymember")) & (F.col("xroot") != F.col("yroot")) & fits("x", "y"))
+        pairs = pairs.select(F.least("xmember", "ymember").alias("a"), F.greatest("xmember", "ymember").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, scratch(spark, "pairs"))
+        found = materialize(check(pairs), scratch(spark, "links"))
+        links, tried = (found, pairs) if links is None else (links.unionAll(found), tried.unionAll(pairs))
+    return links

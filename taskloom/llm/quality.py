@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, batches, materialize, scratch
+from .common import ASCII_SPACE, batches, materialize, positional, scratch
 
 SYMBOLS = "#*$%&|<>"  # fixed value of the contract
 #: rule -> its cutoffs, most lenient first; a document is rejected if its share exceeds the cutoff
@@ -174,4 +174,5 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """docs without the rejected rows; columns as they are."""
     verdict = judge(spark, docs, labels, **options).where("kept").select(F.col("doc_id").alias("v_doc_id")).distinct()
-    return docs.join(verdict, F.col("doc_id").cast("long").eqNullSafe(F.col("v_doc_id")), "left_semi")
+    key = F.col(f"_col{docs.columns.index('doc_id')}").cast("long")
+    return positional(docs).join(verdict, key.eqNullSafe(F.col("v_doc_id")), "left_semi").toDF(*docs.columns)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch, slices
+from .common import materialize, positional, scratch, slices
 from .jaccard import mix
 from .words import hashed_words
 
@@ -167,4 +167,5 @@ def _tiler(table, least, coverage):
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without those that cover an item; columns as they are."""
     found = materialize(tile_coverage(spark, docs, benchmark, **options).select(F.col("doc_id").alias("c_doc_id")).distinct(), scratch(spark, "contaminated"))
-    return docs.join(found, F.col("doc_id").cast("long") == F.col("c_doc_id"), "left_anti")
+    key = F.col(f"_col{docs.columns.index('doc_id')}").cast("long")
+    return positional(docs).join(found, key == F.col("c_doc_id"), "left_anti").toDF(*docs.columns)
