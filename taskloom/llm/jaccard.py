@@ -9,8 +9,8 @@ band also indexes one-deletion neighbourhoods and its sets ask for some segments
 counts as two. Candidates are verified on whole sets.
 
 Equal sets are collapsed first. Entries travel packed: each map task sends one row per batch and bucket of signatures.
-Candidate pairs are not all made at once: the members of a signature are first compared with one of them, then only
-pairs that are not connected yet.
+Candidate pairs are not all made at once: the members of a signature are compared with one of them after another, and
+only where they are not connected yet.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, scratch, slices
-from .components import connected_components
+from .common import discard, materialize, positional, scratch, slices
+from .components import connected_components, link_in_groups
 from .words import hashed_words
 
 U = np.uint64
@@ -361,7 +361,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
     scheme = Scheme(p, q)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = rows.where("doc_id is not null")
-    spots = [scratch(spark, f"jaccard{k}") for k in range(6)]
+    spots = [scratch(spark, f"jaccard{k}") for k in range(4)]
     facts = materialize(describe(rows, n, scheme), spots[0])
     short, total = facts.agg(F.expr("bit_or(short)"), F.sum("n_shingles")).first()
     deep = (short or 0) | (1 << (SMALL.bit_length() - 1)) - 1
@@ -387,23 +387,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
 
     chosen = docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi").mapInArrow(sets_of, "key long, members binary, n long, sketch binary").dropDuplicates(["key"])
     sets = materialize(chosen, spots[3])
-    fits = F.expr(f"{p} * greatest(x.size, y.size) <= {q} * least(x.size, y.size) and ((x.flags | y.flags) & 3) = 3")
-    # first one member of each signature with all others
-    heads = groups.groupBy("group").agg(F.min(F.struct("member", "size", "flags")).alias("h")).select("group", "h.*")
-    star = groups.alias("x").join(heads.alias("y"), "group").where("x.member <> y.member").where(fits)
-    star = star.select(F.least("x.member", "y.member").alias("a"), F.greatest("x.member", "y.member").alias("b")).distinct()
-    star = materialize(star, scratch(spark, "jaccard-star"))
-    links = materialize(verify(star, sets, p, q), spots[4])
-    joined = connected_components(spark, links)
-    # then those pairs that are not connected so far
-    marked = groups.join(joined.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("component", "member")).select("group", "member", "size", "flags", "root")
-    mixed = marked.groupBy("group").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("group")
-    open_ = materialize(marked.join(mixed, "group"), scratch(spark, "jaccard-open"))
-    rest = open_.alias("x").join(open_.alias("y"), "group").where("x.member < y.member and x.root <> y.root").where(fits)
-    rest = rest.select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = materialize(verify(rest, sets, p, q), spots[5])
+
+    def fits(x: str, y: str):
+        sizes = [F.col(x + "size"), F.col(y + "size")]
+        return (p * F.greatest(*sizes) <= q * F.least(*sizes)) & (F.col(x + "flags").bitwiseOR(F.col(y + "flags")).bitwiseAND(F.lit(3)) == 3)
+
+    links = link_in_groups(spark, groups, fits, lambda pairs: verify(pairs, sets, p, q))
     named = reps.select(F.col("key"), "rep")
-    edges = links.unionAll(more).join(named.toDF("a", "ra"), "a").join(named.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    edges = links.join(named.toDF("a", "ra"), "a").join(named.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     roots = connected_components(spark, edges).withColumnRenamed("node", "rep")
     for spot in (spots[1], spots[2], spots[3]):
         discard(spark, spot)
@@ -416,4 +407,5 @@ def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each group of linked documents, that of the smallest doc_id; columns as they are."""
     found = jaccard_components(spark, docs, **options)
     gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("g_doc_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("g_doc_id"), "left_anti")
+    key = F.col(f"_col{docs.columns.index('doc_id')}").cast("long")
+    return positional(docs).join(gone, key == F.col("g_doc_id"), "left_anti").toDF(*docs.columns)
