@@ -103,6 +103,8 @@ def critical_path(graph: Column) -> Column:
     @F.udf("int", useArrow=True)
     def run(text: str) -> int:
         g = json.loads(text)
+        if not g.get("activities"):
+            return None
         d = {a["id"]: duration_of(a) for a in g["activities"]}
         return longest_path(d, [(p["i"], p["j"]) for p in g.get("precedences") or []])
 
