@@ -206,6 +206,7 @@ def describe(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
             keys = [int(mix(s).sum(dtype=U)) if len(s) else 0 for s in sets]
             checks = [int(np.bitwise_xor.reduce(mix(s + U(1)))) if len(s) else 0 for s in sets]
             short = short_of_segments([s for s in sets if len(s)], scheme)
+            cells = parities(sets)
             hashes, times = np.unique(np.concatenate(sets), return_counts=True)
             often = hashes[times >= max(3, len(sets) / 300)]
             first = [(short, often.view(np.int64).tolist())] + [(0, None)] * (len(sets) - 1)
@@ -213,11 +214,12 @@ def describe(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
                 [
                     pa.array(names, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(np.array(keys, U).view(np.int64)), pa.array(np.array(checks, U).view(np.int64)),
                     pa.array([x for x, _ in first], pa.int64()), pa.array([x for _, x in first], pa.list_(pa.int64())),
+                    *(pa.array(np.ascontiguousarray(cells[:, k])) for k in range(4)),
                 ],
-                ["doc_id", "n_shingles", "key", "check", "short", "often"],
+                ["doc_id", "n_shingles", "key", "check", "short", "often", "c0", "c1", "c2", "c3"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, key long, check long, short long, often array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, key long, check long, short long, often array<long>, c0 long, c1 long, c2 long, c3 long")
 
 
 def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, deep: int, buckets: int) -> DataFrame:
@@ -309,6 +311,14 @@ def sketch(members: np.ndarray) -> bytes:
     return np.packbits(odd.astype(bool)).tobytes()
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Four 64-bit words for each set: parities of the number of elements in each of 256 cells."""
+    out = np.zeros((len(sets), 256), np.int64)
+    owner = np.repeat(np.arange(len(sets)), list(map(len, sets)))
+    np.add.at(out.reshape(-1), owner * 256 + (mix(np.concatenate(sets) ^ U(0x2545F4914F6CDD1D)) & U(255)).astype(np.int64), 1)
+    return np.packbits(out.astype(bool) & (out % 2 == 1), axis=1).view("<i8")
+
+
 def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) that may have J >= p / q: cells of different parity never outnumber differing elements."""
 
@@ -390,9 +400,12 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
 
     def fits(x: str, y: str):
         sizes = [F.col(x + "size"), F.col(y + "size")]
-        return (p * F.greatest(*sizes) <= q * F.least(*sizes)) & (F.col(x + "flags").bitwiseOR(F.col(y + "flags")).bitwiseAND(F.lit(3)) == 3)
+        odd = sum((F.bit_count(F.col(f"{x}c{k}").bitwiseXOR(F.col(f"{y}c{k}"))) for k in range(4)), F.lit(0))  # never more than differing elements
+        return (p * F.greatest(*sizes) <= q * F.least(*sizes)) & (odd * (p + q) <= (q - p) * (sizes[0] + sizes[1])) & (F.col(x + "flags").bitwiseOR(F.col(y + "flags")).bitwiseAND(F.lit(3)) == 3)
 
-    links = link_in_groups(spark, groups, fits, lambda pairs: verify(pairs, sets, p, q))
+    cells = facts.where("n_shingles > 0").groupBy(F.col("key").alias("k")).agg(*(F.min(f"c{k}").alias(f"c{k}") for k in range(4)))
+    groups = groups.join(cells, F.col("member") == F.col("k")).drop("k")
+    links = link_in_groups(spark, groups, fits, lambda pairs: verify(pairs, sets, p, q), rounds=1)
     named = reps.select(F.col("key"), "rep")
     edges = links.join(named.toDF("a", "ra"), "a").join(named.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     roots = connected_components(spark, edges).withColumnRenamed("node", "rep")
