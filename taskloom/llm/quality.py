@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, batches, materialize, positional, scratch
+from .common import ASCII_SPACE, materialize, positional, scratch, slices
 
 SYMBOLS = "#*$%&|<>"  # fixed value of the contract
 #: rule -> its cutoffs, most lenient first; a document is rejected if its share exceeds the cutoff
@@ -86,16 +86,16 @@ class Counter:
         return out
 
 
-def count_features(docs: DataFrame, stratum: str = "lang", text_bytes: int = 4 << 20) -> DataFrame:
+def count_features(docs: DataFrame, stratum: str = "lang", text_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, stratum and the base counts of every whole text; null and empty texts have none of anything."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
         for b in parts:
-            for held in batches(zip(*(b.column(k).to_pylist() for k in range(3))), text_bytes, lambda r: len(r[2] or "") + 64):
-                columns = list(zip(*counter([r[2] for r in held])))
+            for held in slices(b, text_bytes):
+                columns = list(zip(*counter(held.column("text").to_pylist())))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in held], pa.int64()), pa.array([r[1] for r in held], pa.string()), *(pa.array(c, pa.int64()) for c in columns)],
+                    [held.column("doc_id"), held.column("stratum"), *(pa.array(c, pa.int64()) for c in columns)],
                     ["doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"],
                 )
 
