@@ -27,6 +27,7 @@ from .components import connected_components, link_in_groups
 from .words import hashed_words
 
 U = np.uint64
+WORDS = 8  # of parities that a candidate carries
 SMALL = 64  # bands of sets up to this size index deletions from the start
 
 
@@ -214,12 +215,12 @@ def describe(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
                 [
                     pa.array(names, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(np.array(keys, U).view(np.int64)), pa.array(np.array(checks, U).view(np.int64)),
                     pa.array([x for x, _ in first], pa.int64()), pa.array([x for _, x in first], pa.list_(pa.int64())),
-                    *(pa.array(np.ascontiguousarray(cells[:, k])) for k in range(4)),
+                    *(pa.array(np.ascontiguousarray(cells[:, k])) for k in range(WORDS)),
                 ],
-                ["doc_id", "n_shingles", "key", "check", "short", "often", "c0", "c1", "c2", "c3"],
+                ["doc_id", "n_shingles", "key", "check", "short", "often", *(f"c{k}" for k in range(WORDS))],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, key long, check long, short long, often array<long>, c0 long, c1 long, c2 long, c3 long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, key long, check long, short long, often array<long>" + "".join(f", c{k} long" for k in range(WORDS)))
 
 
 def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, deep: int, buckets: int) -> DataFrame:
@@ -312,10 +313,10 @@ def sketch(members: np.ndarray) -> bytes:
 
 
 def parities(sets: list[np.ndarray]) -> np.ndarray:
-    """Four 64-bit words for each set: parities of the number of elements in each of 256 cells."""
-    out = np.zeros((len(sets), 256), np.int64)
+    """WORDS 64-bit words for each set: parities of the number of elements in each of 64 WORDS cells."""
+    out = np.zeros((len(sets), 64 * WORDS), np.int64)
     owner = np.repeat(np.arange(len(sets)), list(map(len, sets)))
-    np.add.at(out.reshape(-1), owner * 256 + (mix(np.concatenate(sets) ^ U(0x2545F4914F6CDD1D)) & U(255)).astype(np.int64), 1)
+    np.add.at(out.reshape(-1), owner * (64 * WORDS) + (mix(np.concatenate(sets) ^ U(0x2545F4914F6CDD1D)) & U(64 * WORDS - 1)).astype(np.int64), 1)
     return np.packbits(out.astype(bool) & (out % 2 == 1), axis=1).view("<i8")
 
 
@@ -400,10 +401,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
 
     def fits(x: str, y: str):
         sizes = [F.col(x + "size"), F.col(y + "size")]
-        odd = sum((F.bit_count(F.col(f"{x}c{k}").bitwiseXOR(F.col(f"{y}c{k}"))) for k in range(4)), F.lit(0))  # never more than differing elements
+        odd = sum((F.bit_count(F.col(f"{x}c{k}").bitwiseXOR(F.col(f"{y}c{k}"))) for k in range(WORDS)), F.lit(0))  # never more than differing elements
         return (p * F.greatest(*sizes) <= q * F.least(*sizes)) & (odd * (p + q) <= (q - p) * (sizes[0] + sizes[1])) & (F.col(x + "flags").bitwiseOR(F.col(y + "flags")).bitwiseAND(F.lit(3)) == 3)
 
-    cells = facts.where("n_shingles > 0").groupBy(F.col("key").alias("k")).agg(*(F.min(f"c{k}").alias(f"c{k}") for k in range(4)))
+    cells = facts.where("n_shingles > 0").groupBy(F.col("key").alias("k")).agg(*(F.min(f"c{k}").alias(f"c{k}") for k in range(WORDS)))
     groups = groups.join(cells, F.col("member") == F.col("k")).drop("k")
     links = link_in_groups(spark, groups, fits, lambda pairs: verify(pairs, sets, p, q), rounds=1)
     named = reps.select(F.col("key"), "rep")
