@@ -282,6 +282,22 @@ def test_op7(spark, docs, empty):
     assert lines.dedupe_lines(spark, empty).count() == 0
 
 
+def char_set(line, width=5):
+    return {line[k : k + width] for k in range(max(1, len(line) - width + 1))}
+
+
+def test_op7_takes_shingles_at_every_character(spark):
+    rnd = random.Random(9)
+    stem = [" ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(n)) for n in (14, 14, 16, 70)]
+    rows = [x.replace(x.split(" ")[k], "#" + x.split(" ")[k][1:], 1) for x in stem for k in (0, 5, 9)] + stem
+    rows += ["東京都の天気は晴れのち曇りで午後からは北の風がやや強く吹くでしょう" + x for x in ("。", "！")] + ["abcd", "abce"]
+    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id for r in lines.dedupe_lines(spark, table).where("n_removed = 0").collect()}
+    sets = [char_set(x) for x in rows]
+    root = components(range(len(rows)), lambda a, b: 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]))
+    assert got == set(root.values()) and len(got) < len(rows)
+
+
 def test_op8(spark, docs, empty):
     got = editcount.count_under_edits(spark, docs).collect()
     want = collections.Counter()
