@@ -5,7 +5,8 @@ table for each distance and side) are added up, squashed, and give the word's cl
 each by a softmax over 64. The network is trained on every word of the corpus: in each round the tasks train copies of
 the last network on their share of that round's documents, and the copies are averaged by weight (parameters travel in
 blocks, so no task and not the driver holds more than one network and its sums). Documents are scored by the sum of
-the log-probabilities of their words.
+the log-probabilities of their words; a word out of the vocabulary has that of the number it shares with others, times
+its part of all their occurrences in the corpus.
 """
 
 from __future__ import annotations
@@ -97,8 +98,8 @@ class Network:
         self.parameters[name][which] -= self.rate * slope / np.sqrt(squares)
 
 
-def vocabulary(spark: SparkSession, docs: DataFrame, frequent: int) -> dict[bytes, int]:
-    """The `frequent` most frequent words of all documents, numbered from 1 by count, then by bytes."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, n of every word of all documents."""
 
     def count(parts):
         held: dict[bytes, int] = {}
@@ -118,26 +119,47 @@ def vocabulary(spark: SparkSession, docs: DataFrame, frequent: int) -> dict[byte
                     yield rows()
         yield rows()
 
-    counts = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(counts: DataFrame, frequent: int) -> dict[bytes, int]:
+    """The `frequent` most frequent words, numbered from 1 by count, then by bytes."""
     top = counts.orderBy(F.desc("n"), "word").limit(frequent).collect()  # of fixed size
     return {bytes(r.word): k + 1 for k, r in enumerate(top)}
 
 
+def word_shares(counts: DataFrame, known: dict[bytes, int], frequent: int) -> DataFrame:
+    """h (64-bit hash), share (log of its part of the count of its number) of every word out of the vocabulary."""
+    bound = counts.orderBy(F.desc("n"), "word").limit(frequent).select("word")
+    own = counts.join(F.broadcast(bound), "word", "left_anti") if known else counts
+    own = own.select(F.xxhash64("word").alias("h"), "n").withColumn("number", F.pmod("h", F.lit(SIZE - 1 - frequent)))
+    totals = own.groupBy("number").agg(F.sum("n").alias("total"))  # a row for each shared number
+    return own.join(F.broadcast(totals), "number").select("h", F.log(F.col("n") / F.col("total")).alias("share"))
+
+
 def number_words(docs: DataFrame, known: dict[bytes, int], frequent: int) -> DataFrame:
-    """doc_id, ids (16-bit word numbers): words out of the vocabulary share the remaining numbers by hash."""
-    rest = SIZE - 1 - frequent
+    """row (unique), doc_id, ids (16-bit word numbers), rest (hashes of the words out of the vocabulary, which share the remaining numbers)."""
+    shared = SIZE - 1 - frequent
 
     def run(parts):
         import xxhash
+        from pyspark import TaskContext
 
+        row = TaskContext.get().partitionId() << 33
         for b in parts:
             for own in slices(b, 4 << 20):
                 words, index, ends = split_words(own.column("text"))
-                code = np.fromiter((known.get(w) or frequent + 1 + xxhash.xxh3_64_intdigest(w) % rest for w in words.to_pylist()), np.uint16, len(words))
+                words = words.to_pylist()
+                mark = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words)).view(np.int64)  # as xxhash64 in Spark
+                code = np.fromiter((known.get(w) or frequent + 1 + h % shared for w, h in zip(words, mark.tolist())), np.uint16, len(words))
                 flat = code[index]
-                yield pa.RecordBatch.from_arrays([own.column("doc_id"), pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())], ["doc_id", "ids"])
+                out = flat > frequent
+                rest = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(out)][ends], pa.int32()), pa.array(mark[index[out]], pa.int64()))
+                rows = pa.array(range(row, row + own.num_rows), pa.int64())
+                row += own.num_rows
+                yield pa.RecordBatch.from_arrays([rows, own.column("doc_id"), pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()), rest], ["row", "doc_id", "ids", "rest"])
 
-    return docs.mapInArrow(run, "doc_id long, ids binary")
+    return docs.mapInArrow(run, "row long, doc_id long, ids binary, rest array<long>")
 
 
 def padded(parts: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,9 +171,9 @@ def padded(parts: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray]
     return line, np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def _lines(b: pa.RecordBatch, words: int = 60_000):
+def _lines(b: pa.RecordBatch, *keys: str, words: int = 60_000):
     held, total, names = [], 0, []
-    for name, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
+    for *name, ids in zip(*(b.column(c).to_pylist() for c in (*keys, "ids"))):
         held.append(np.frombuffer(ids, np.uint16).astype(np.int64))
         names.append(name)
         total += len(held[-1]) + 8
@@ -203,21 +225,27 @@ def pseudo_likelihood(spark: SparkSession, docs: DataFrame, frequent: int = 3583
     mean. Rows that repeat a doc_id, or have none, are scored one by one. An empty table gives no row.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    known = vocabulary(spark, rows, frequent)
+    counts = materialize(word_counts(rows), scratch(spark, "counts"))
+    known = vocabulary(counts, frequent)
     numbered = materialize(number_words(rows, known, frequent), scratch(spark, "numbered"))
-    return score(numbered, train(spark, numbered, width, reach, rounds), width, reach)
+    rest = numbered.select("row", F.explode("rest").alias("h")).join(word_shares(counts, known, frequent), "h").groupBy("row").agg(F.sum("share").alias("share"))
+    scored = score(numbered, train(spark, numbered.select("doc_id", "ids"), width, reach, rounds), width, reach)
+    pll = F.col("pll") + F.coalesce("share", F.lit(0.0))
+    return scored.join(rest, "row", "left").select("doc_id", "n_words", pll.alias("pll"), F.when(F.col("n_words") > 0, pll / F.col("n_words")).alias("mean_pll"))
 
 
 def score(numbered: DataFrame, flat: np.ndarray, width: int, reach: int) -> DataFrame:
+    """row, doc_id, n_words, pll: the sum of log p of the numbers of all words."""
+
     def run(parts):
         own = Network(width, reach).load(flat)
         for b in parts:
-            for names, held in _lines(b):
+            for names, held in _lines(b, "row", "doc_id"):
                 line, at = padded(held, reach)
                 value = np.concatenate([own.log_likelihood(line, at[k : k + 8192]) for k in range(0, len(at), 8192)] or [np.empty(0)])
                 sizes = [len(x) for x in held]
                 total = [math.fsum(value[e - n : e]) for n, e in zip(sizes, np.cumsum(sizes).tolist())]
-                means = [t / n if n else None for t, n in zip(total, sizes)]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(total, pa.float64()), pa.array(means, pa.float64())], ["doc_id", "n_words", "pll", "mean_pll"])
+                rows, ids = zip(*names)
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(total, pa.float64())], ["row", "doc_id", "n_words", "pll"])
 
-    return numbered.mapInArrow(run, "doc_id long, n_words long, pll double, mean_pll double")
+    return numbered.select("row", "doc_id", "ids").mapInArrow(run, "row long, doc_id long, n_words long, pll double")

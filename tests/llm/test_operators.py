@@ -92,6 +92,22 @@ def test_op2(spark, docs, empty):
     assert pll.pseudo_likelihood(spark, empty).count() == 0
 
 
+def test_op2_gives_each_word_its_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(pll, "SIZE", 3)  # number 1: the word of the vocabulary, number 2: all others
+    counts = spark.createDataFrame([(b"top", 9), (b"rare", 6), (b"seldom", 2)], "word binary, n long")
+    known = pll.vocabulary(counts, 1)
+    shares = {r.h: r.share for r in pll.word_shares(counts, known, 1).collect()}
+    assert sorted(np.exp(list(shares.values()))) == pytest.approx([2 / 8, 6 / 8])
+    monkeypatch.undo()
+    texts = ["top " * 40, *["rare"] * 6, "seldom"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(pll, "word_shares", lambda *_: spark.createDataFrame([(h, float(k)) for k, h in enumerate(sorted(shares), 1)], "h long, share double"))
+    more = {r.doc_id: r.pll for r in pll.pseudo_likelihood(spark, table, frequent=1).collect()}
+    monkeypatch.setattr(pll, "word_shares", lambda *_: spark.createDataFrame([], "h long, share double"))
+    less = {r.doc_id: r.pll for r in pll.pseudo_likelihood(spark, table, frequent=1).collect()}
+    assert more[0] == less[0] and sorted({round(more[k] - less[k]) for k in (1, 7)}) == [1, 2]
+
+
 def test_op2_learns_and_sums():
     net = pll.Network(seed=1)
     line, at = pll.padded([np.array([7, 9, 11, 13] * 300), np.array([5])], 2)
