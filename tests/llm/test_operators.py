@@ -314,6 +314,14 @@ def test_op7_takes_shingles_at_every_character(spark):
     assert got == set(root.values()) and len(got) < len(rows)
 
 
+def test_op7_covers_long_words(spark):
+    rnd = random.Random(10)
+    ends = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(4)]
+    rows = ["https://www." + x for x in ends] + ["http://nowww." + x for x in ends]
+    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r.doc_id for r in lines.dedupe_lines(spark, table).where("n_removed = 0").collect()} == {0, 1, 2, 3}
+
+
 def test_op8(spark, docs, empty):
     got = editcount.count_under_edits(spark, docs).collect()
     want = collections.Counter()
