@@ -232,6 +232,15 @@ def test_batch(spark, read, tmp_path):
         assert records.count() == report.accepted and set(records.columns) >= {"p", "m", "c", "loss_weight", "base_instance_id"}
 
 
+def test_catalog_takes_all_orders(spark, tmp_path):
+    from taskloom.plans import catalog
+
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").where(f"{key} < 50").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    n = catalog.project_metrics(spark, str(tmp_path)).count()
+    assert catalog.solver_bounds(spark, str(tmp_path)).count() == n > 5
+
+
 def test_fixed_values():
     assert fixed.SAME_LEAST / fixed.NUM_PERM >= 0.85 > (fixed.SAME_LEAST - 1) / fixed.NUM_PERM
 
