@@ -239,6 +239,8 @@ def test_catalog_takes_all_orders(spark, tmp_path):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").where(f"{key} < 50").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
     n = catalog.project_metrics(spark, str(tmp_path)).count()
     assert catalog.solver_bounds(spark, str(tmp_path)).count() == n > 5
+    groups = catalog.batch_report(spark, str(tmp_path)).first()
+    assert groups["total"] >= 3 * n
 
 
 def test_fixed_values():
