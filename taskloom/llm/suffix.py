@@ -65,6 +65,8 @@ def find_anchors(texts: list[bytes], length: int, gram: int):
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(texts), np.uint8)
+    if len(data) > 1 << PLACE_BITS:
+        raise ValueError(f"a batch of {len(data)} bytes of text; places have {PLACE_BITS} bits")
     empty = np.empty(0, np.int64)
     if len(data) < length:
         return empty, empty, empty, empty, np.empty(0, U)

@@ -204,6 +204,13 @@ def test_op5(spark, docs, empty):
     assert suffix.remove_repeats(spark, empty).count() == 0
 
 
+def test_op5_refuses_texts_beyond_its_places(monkeypatch):
+    monkeypatch.setattr(suffix, "PLACE_BITS", 10)
+    with pytest.raises(ValueError):
+        suffix.find_anchors([b"x" * 1025], 32, 8)
+    assert len(suffix.find_anchors([b"x" * 1024], 32, 8)[0])
+
+
 def test_induced_sorting(tmp_path):
     for _ in range(150):
         n, symbols = RND.choice([0, 1, 2, 3, 20, 200]), RND.choice([1, 2, 4, 200])
