@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The six ASCII white-space bytes; bytes.split() without arguments cuts at exactly these.
 ASCII_SPACE = " \t\n\r\x0b\x0c"
@@ -19,9 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (local mode only)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="taskloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -114,3 +118,17 @@ def slices(batch, limit: int, column: str = "text"):
 def positional(df):
     """df with its columns named _col0, _col1, ... so that no name clashes with those of an operator; undo by toDF."""
     return df.toDF(*(f"_col{k}" for k in range(len(df.columns))))
+
+
+def identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs with columns renamed by position and _row, a long that no two rows share and that ascends with doc_id.
+
+    _row is doc_id where that is unique and never null. Else the rows are numbered in the order of doc_id, null first,
+    and written, so that a repeated task finds the same numbers.
+    """
+    key = F.col(f"_col{docs.columns.index('doc_id')}").cast("long")
+    rows = positional(docs)
+    total, different = rows.agg(F.count("*"), F.count_distinct(key)).first()
+    if total == different:
+        return rows.withColumn("_row", key)
+    return materialize(rows.orderBy(key.asc_nulls_first()).withColumn("_row", F.monotonically_increasing_id()), scratch(spark, "numbered"))

@@ -1,4 +1,4 @@
-"""Connected components of an edge table, and links inside groups of candidates (DataFrame operations only)."""
+"""Connected components of an edge table, and links inside clusters of candidates (DataFrame operations only)."""
 
 from __future__ import annotations
 
@@ -37,36 +37,40 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         before = mark
 
 
-def link_in_groups(spark: SparkSession, groups: DataFrame, fits: Callable, check: Callable[[DataFrame], DataFrame], rounds: int = 3) -> DataFrame:
-    """Verified links (a, b) that connect all members who are connected by pairs of one group that pass `check`.
+def link_in_clusters(spark: SparkSession, stars: DataFrame, sketch: Callable[[DataFrame], DataFrame], fits: Callable, check: Callable[[DataFrame], DataFrame], turns: int = 1) -> DataFrame:
+    """Verified links (a, b) that connect all members who are connected by pairs of one cluster that pass `check`.
 
-    groups: group, member (long) and columns that fits(x, y) may use, names prefixed by x and y, to rule a pair out. All
-    pairs of a group are not made: in each round one member of every group, another one each time, is compared with
-    those it is not yet connected with; the pairs that are then still unconnected, few where a group is alike, are
-    compared to the last one. No pair is left out, and none is checked twice.
+    stars: hub, member (long, distinct, hub <> member); a hub and its members are one cluster. First each member is
+    compared with its hub (if there is a column fits: where that is true), then, `turns` times, with another member of its cluster, if not connected with it yet. What
+    is then still unconnected inside a cluster, few where a cluster is alike, is compared pair by pair. sketch gives
+    the columns (m, any others) of members (m) by which fits(x, y), over columns prefixed by x and y, rules a pair
+    out. Groups of candidates that share most members should have the same hub (the least of a hash): then a pair
+    stands in few clusters, however many groups it shares.
     """
-    extra = [c for c in groups.columns if c not in ("group", "member")]
-    side = lambda df, s: df.toDF(*(c if c == "group" else s + c for c in df.columns))
-    links = tried = None
-    for turn in range(rounds + 1):
-        if links is None:
-            marked = groups.withColumn("root", F.col("member"))
+    side = lambda df, s: df.toDF(*(c if c == "hub" else s + c for c in df.columns))
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    first = stars.where("fits") if "fits" in stars.columns else stars
+    tried = materialize(first.select(*ordered("hub", "member")).distinct(), scratch(spark, "pairs"))
+    stars = stars.select("hub", "member")
+    links = materialize(check(tried), scratch(spark, "links"))
+    everyone = stars.unionAll(stars.select("hub", F.col("hub").alias("member")).distinct())
+    for turn in range(1, turns + 2):
+        roots = connected_components(spark, links)
+        marked = everyone.join(roots, F.col("member") == F.col("node"), "left").select("hub", "member", F.coalesce("component", "member").alias("root"))
+        mixed = marked.groupBy("hub").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1 and n > 2").select("hub")
+        open_ = materialize(marked.join(mixed, "hub"), scratch(spark, "open"))
+        # the hub has met all; it only matters here for the pairs that others make
+        open_ = open_.where("hub <> member")
+        if turn <= turns:
+            other = open_.groupBy("hub").agg(F.min_by(F.struct("member", "root"), F.xxhash64("member", F.lit(turn))).alias("y")).select("hub", F.col("y.member").alias("ymember"), F.col("y.root").alias("yroot"))
+            pairs = side(open_, "x").join(other, "hub").where("xroot <> yroot")
         else:
-            roots = connected_components(spark, links)
-            marked = groups.join(roots, F.col("member") == F.col("node"), "left").select("group", "member", *extra, F.coalesce("component", "member").alias("root"))
-        mixed = marked.groupBy("group").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1").where(F.lit(turn == 0) | (F.col("n") > 2))
-        open_ = materialize(marked.join(mixed.select("group"), "group"), scratch(spark, "open"))
-        if turn < rounds:
-            row = F.struct(*(F.col(c).alias("y" + c) for c in open_.columns if c != "group"))
-            other = open_.groupBy("group").agg(F.min_by(row, F.xxhash64("member", F.lit(turn))).alias("y")).select("group", "y.*")
-            pairs = side(open_, "x").join(other, "group").where((F.col("xroot") != F.col("yroot")) & fits("x", "y"))
-        else:
-            mine, other = side(open_, "x"), side(open_, "y").withColumnRenamed("group", "g")
-            pairs = mine.join(other, (F.col("group") == F.col("g")) & (F.col("xmember") < F.col("ymember")) & (F.col("xroot") != F.col("yroot")) & fits("x", "y"))
-        pairs = pairs.select(F.least("xmember", "ymember").alias("a"), F.greatest("xmember", "ymember").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            known = materialize(sketch(open_.select(F.col("member").alias("m")).distinct()), scratch(spark, "sketches"))
+            rows = open_.join(known, F.col("member") == F.col("m")).drop("m")
+            mine, other = side(rows, "x"), side(rows, "y").withColumnRenamed("hub", "other_hub")
+            pairs = mine.join(other, (F.col("hub") == F.col("other_hub")) & (F.col("xmember") < F.col("ymember")) & (F.col("xroot") != F.col("yroot")) & fits("x", "y"))
+        pairs = pairs.select(*ordered("xmember", "ymember")).distinct().join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, scratch(spark, "pairs"))
-        found = materialize(check(pairs), scratch(spark, "links"))
-        links, tried = (found, pairs) if links is None else (links.unionAll(found), tried.unionAll(pairs))
+        links = links.unionAll(materialize(check(pairs), scratch(spark, "links")))
+        tried = tried.unionAll(pairs)
     return links

@@ -8,9 +8,10 @@ first, as they have the shortest lists. Where H + 1 non-empty segments are not t
 band also indexes one-deletion neighbourhoods and its sets ask for some segments with one deletion, each of which
 counts as two. Candidates are verified on whole sets.
 
-Equal sets are collapsed first. Entries travel packed: each map task sends one row per batch and bucket of signatures.
-Candidate pairs are not all made at once: the members of a signature are compared with one of them after another, and
-only where they are not connected yet.
+Equal sets are collapsed first, by two 64-bit hashes. Entries travel packed: each map task sends one row per batch and
+bucket of signatures. The members of a signature go on as one cluster under the member of the least key; signatures
+that share most members so have the same hub, and a pair stands in few clusters, however many signatures it shares.
+Each member is compared with its hub; only what then is not connected inside a cluster is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, positional, scratch, slices
-from .components import connected_components, link_in_groups
+from .common import discard, identified, materialize, scratch, slices
+from .components import connected_components, link_in_clusters
 from .words import hashed_words
 
 U = np.uint64
@@ -48,7 +49,7 @@ class Shingler:
         self.odd = np.random.default_rng(11).integers(1, 2**63, n, dtype=np.uint64) * U(2) + U(1)
 
     def _mixed(self, words: np.ndarray, n: int) -> np.ndarray:
-        total = np.full(max(0, len(words) - n + 1), U(n) * U(0x9E3779B97F4A7C15))
+        total = np.full(max(0, len(words) - n + 1), U(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
         for k in range(n):
             total += words[k : k + len(total)] * self.odd[k]
         return mix(total)
@@ -191,6 +192,26 @@ def short_of_segments(sets: list[np.ndarray], scheme: Scheme) -> int:
     return found
 
 
+def identity(s: np.ndarray) -> tuple[int, int]:
+    """Two independent 64-bit hashes of a set; (0, 0) of the empty one."""
+    return (int(mix(s).sum(dtype=U)), int(np.bitwise_xor.reduce(mix(s + U(1))))) if len(s) else (0, 0)
+
+
+def rekeyed(key: int, check: int) -> int:
+    """A 64-bit hash of both hashes of a set."""
+    return int(mix(mix(np.array([key & (1 << 64) - 1], U)) ^ np.array([check & (1 << 64) - 1], U))[0])
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def key_of(s: np.ndarray, twins: frozenset[int]) -> int:
+    """The key of a set: its first hash, or one of both where different sets (twins) share the first."""
+    key, check = identity(s)
+    return rekeyed(key, check) if key in twins else key
+
+
 def _sets(parts: Iterator[pa.RecordBatch], n: int, size: int = 1 << 20):
     """(doc_ids, sets) of a few texts after another."""
     shingler = Shingler(n)
@@ -204,8 +225,7 @@ def describe(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
 
     def run(parts):
         for names, sets in _sets(parts, n, 3 << 20):
-            keys = [int(mix(s).sum(dtype=U)) if len(s) else 0 for s in sets]
-            checks = [int(np.bitwise_xor.reduce(mix(s + U(1)))) if len(s) else 0 for s in sets]
+            keys, checks = zip(*map(identity, sets))
             short = short_of_segments([s for s in sets if len(s)], scheme)
             cells = parities(sets)
             hashes, times = np.unique(np.concatenate(sets), return_counts=True)
@@ -223,12 +243,12 @@ def describe(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, key long, check long, short long, often array<long>" + "".join(f", c{k} long" for k in range(WORDS)))
 
 
-def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, deep: int, buckets: int) -> DataFrame:
-    """bucket, keys, sizes, owner, sig, flags: the packed entries of one batch of documents for one bucket."""
+def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, deep: int, buckets: int, twins: frozenset[int] = frozenset()) -> DataFrame:
+    """bucket, keys, owner, sig, flags: the packed entries of one batch of documents for one bucket."""
 
     def pack(waiting):
         shift = np.cumsum([0, *(len(w[0]) for w in waiting)])
-        keys, sizes, owner, sig, flags = (np.concatenate(x) for x in zip(*((k, n, o + d, s, f) for (k, n, o, s, f), d in zip(waiting, shift))))
+        keys, owner, sig, flags = (np.concatenate(x) for x in zip(*((k, o + d, s, f) for (k, o, s, f), d in zip(waiting, shift))))
         bucket = (sig >> U(32)) % U(buckets)
         order = np.argsort(bucket.astype(np.uint16 if buckets <= 65536 else np.uint32), kind="stable")
         owner, sig, flags, bucket = owner[order].astype(np.uint32), (sig[order] & U(0xFFFFFFFF)).astype(np.uint32), flags[order], bucket[order]
@@ -237,15 +257,15 @@ def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray,
         for low, high in zip(edges[:-1], edges[1:]):
             own, local = np.unique(owner[low:high], return_inverse=True)
             wide = np.uint16 if len(own) <= 65536 else np.uint32
-            rows.append((int(bucket[low]), keys[own].tobytes(), sizes[own].tobytes(), local.astype(wide).tobytes(), sig[low:high].tobytes(), flags[low:high].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 5))], ["bucket", "keys", "sizes", "owner", "sig", "flags"])
+            rows.append((int(bucket[low]), keys[own].tobytes(), local.astype(wide).tobytes(), sig[low:high].tobytes(), flags[low:high].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], ["bucket", "keys", "owner", "sig", "flags"])
 
     def run(parts):
         seen, waiting, pending = set(), [], 0
         for _, found in _sets(parts, n):
             sets, keys = [], []
             for s in found:
-                key = int(mix(s).sum(dtype=U)) if len(s) else 0
+                key = key_of(s, twins)
                 if len(s) and key not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(key)
@@ -253,7 +273,7 @@ def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray,
                     keys.append(key)
             if sets:
                 owner, sig, flags = emit(sets, scheme, frequent, deep)
-                waiting.append((np.array(keys, U), np.fromiter(map(len, sets), np.uint32, len(sets)), owner, sig, flags.astype(np.uint8)))
+                waiting.append((np.array(keys, U), owner, sig, flags.astype(np.uint8)))
                 pending += len(sig)
             if pending >= 500_000:
                 yield pack(waiting)
@@ -261,55 +281,43 @@ def index_entries(docs: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray,
         if waiting:
             yield pack(waiting)
 
-    return docs.mapInArrow(run, "bucket int, keys binary, sizes binary, owner binary, sig binary, flags binary")
+    return docs.mapInArrow(run, "bucket int, keys binary, owner binary, sig binary, flags binary")
 
 
 def meet(entries: DataFrame, buckets: int) -> DataFrame:
-    """group, member, size, flags: the sets under each signature that at least two different sets have."""
+    """hub, member: the other sets under each signature that at least two different sets have, and the one of the least key."""
 
     def run(parts):
         held: dict[int, list] = {}
         for b in parts:
-            for bucket, keys, sizes, owner, sig, flags in zip(*(b.column(c).to_pylist() for c in ("bucket", "keys", "sizes", "owner", "sig", "flags"))):
+            for bucket, keys, owner, sig, flags in zip(*(b.column(c).to_pylist() for c in ("bucket", "keys", "owner", "sig", "flags"))):
                 local = np.frombuffer(owner, np.uint16 if len(owner) == 2 * len(flags) else np.uint32)
-                held.setdefault(bucket, []).append((np.frombuffer(keys, U), np.frombuffer(sizes, np.uint32), local, np.frombuffer(sig, np.uint32), np.frombuffer(flags, np.uint8)))
+                held.setdefault(bucket, []).append((np.frombuffer(keys, U), local, np.frombuffer(sig, np.uint32), np.frombuffer(flags, np.uint8)))
         for bucket in sorted(held):
             rows = held.pop(bucket)
-            sig, flags = np.concatenate([r[3] for r in rows]), np.concatenate([r[4] for r in rows])
+            sig, flags = np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows])
             shift = np.cumsum([0, *(len(r[0]) for r in rows)])
-            local = np.concatenate([r[2].astype(np.int64) + s for r, s in zip(rows, shift)])
-            keys, sizes = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+            local = np.concatenate([r[1].astype(np.int64) + s for r, s in zip(rows, shift)])
+            keys = np.concatenate([r[0] for r in rows])
             del rows
             order = np.argsort(sig, kind="stable")
             sig, flags, local = sig[order], flags[order], local[order]
             same = np.zeros(len(sig), bool)
             same[1:] = sig[1:] == sig[:-1]
             same[:-1] |= sig[1:] == sig[:-1]
-            sig, flags, key, size = sig[same], flags[same], keys[local[same]], sizes[local[same]]
-            order = np.lexsort((key, sig))
-            sig, flags, key, size = sig[order], flags[order], key[order], size[order]
+            sig, flags, key = sig[same], flags[same], keys[local[same]]
             if not len(sig):
                 continue
-            begins = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
-            flags = np.bitwise_or.reduceat(flags, begins)
-            sig, key, size = sig[begins], key[begins], size[begins]
+            order = np.lexsort((key, sig))
+            sig, flags, key = sig[order], flags[order], key[order]
             edge = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1], True])
-            times = np.diff(edge)
-            groups = np.repeat(np.arange(len(times)), times)
-            asked, known = np.bitwise_or.reduceat(flags & 2, edge[:-1]), np.bitwise_or.reduceat(flags & 1, edge[:-1])
-            good = ((times > 1) & (asked > 0) & (known > 0))[groups]
-            if good.any():
-                name = (groups[good].astype(np.int64) << 24) | bucket
-                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(key[good].view(np.int64)), pa.array(size[good].astype(np.int64)), pa.array(flags[good].astype(np.int32))], ["group", "member", "size", "flags"])
-
-    return entries.repartition(buckets, "bucket").mapInArrow(run, "group long, member long, size long, flags int")
+            hub = np.repeat(key[edge[:-1]], np.diff(edge))
+            both = np.bitwise_or.reduceat(flags & 3, edge[:-1]) == 3  # some set asks and some is indexed
+            good = np.repeat(both, np.diff(edge)) & (hub != key)
+            stars = np.unique(np.stack([hub[good], key[good]]), axis=1) if good.any() else np.empty((2, 0), U)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64)) for c in stars], ["hub", "member"])
 
-
-def sketch(members: np.ndarray) -> bytes:
-    """Parities of the number of elements in each of 2^(band + 2) cells, as bits."""
-    cells = 1 << max(3, int(len(members)).bit_length() + 1)
-    odd = np.bincount((mix(members ^ U(0x5851F42D4C957F2D)) & U(cells - 1)).astype(np.int64), minlength=cells) & 1
-    return np.packbits(odd.astype(bool)).tobytes()
+    return entries.repartition(buckets, "bucket").mapInArrow(run, "hub long, member long")
 
 
 def parities(sets: list[np.ndarray]) -> np.ndarray:
@@ -320,30 +328,8 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out.astype(bool) & (out % 2 == 1), axis=1).view("<i8")
 
 
-def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) that may have J >= p / q: cells of different parity never outnumber differing elements."""
-
-    def run(parts):
-        for b in parts:
-            a, c = b.column("a").to_pylist(), b.column("b").to_pylist()
-            keep = []
-            for k, (x, y, m, n) in enumerate(zip(*(b.column(z).to_pylist() for z in ("sketch_a", "sketch_b", "n_a", "n_b")))):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                if len(x) > len(y):
-                    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
-                elif len(y) > len(x):
-                    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
-                if (p + q) * int(np.bitwise_count(x ^ y).sum()) <= (q - p) * (m + n):
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.int64()), pa.array([c[k] for k in keep], pa.int64())], ["a", "b"])
-
-    left, right = sets.selectExpr("key as a", "sketch as sketch_a", "n as n_a"), sets.selectExpr("key as b", "sketch as sketch_b", "n as n_b")
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
-
-
 def verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) whose sets have J >= p / q."""
-    pairs = materialize(plausible(pairs, sets.select("key", "n", "sketch"), p, q), scratch(pairs.sparkSession, "plausible"))
+    """The pairs (a, b) whose sets (key, members) have J >= p / q."""
 
     def run(parts):
         for b in parts:
@@ -362,17 +348,29 @@ def verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int = 3, q: int = 4, entries_per_bucket: int = 500_000, small: int = 2_000_000) -> DataFrame:
+def sets_of(docs: DataFrame, n: int, twins: frozenset[int]) -> DataFrame:
+    """key, members (the set, packed) of every row of docs."""
+
+    def run(parts):
+        for _, sets in _sets(parts, n):
+            keys = np.array([key_of(s, twins) for s in sets], U).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "members"])
+
+    return docs.mapInArrow(run, "key long, members binary")
+
+
+def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int = 3, q: int = 4, entries_per_bucket: int = 500_000, small: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text, any others); documents of J >= p / q link.
 
     Null texts and texts without words have the empty set and link with nothing, not even with each other. Rows that
-    repeat a doc_id are rows like others. A row without doc_id links with nothing and has no component_id.
-    An empty table gives no row.
+    repeat a doc_id are rows like others. A row without doc_id links with nothing and has no component_id. Texts of
+    any length count whole; other columns, whatever their names, are not read. An empty table gives no row.
+    small: the most ids of documents (8 bytes each) that are broadcast.
     """
     scheme = Scheme(p, q)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = rows.where("doc_id is not null")
-    spots = [scratch(spark, f"jaccard{k}") for k in range(4)]
+    spots = [scratch(spark, f"jaccard{k}") for k in range(3)]
     facts = materialize(describe(rows, n, scheme), spots[0])
     short, total = facts.agg(F.expr("bit_or(short)"), F.sum("n_shingles")).first()
     deep = (short or 0) | (1 << (SMALL.bit_length() - 1)) - 1
@@ -382,44 +380,52 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
     often = facts.where("often is not null").select(F.explode("often").alias("h")).groupBy("h").count().where(F.col("count") >= max(2, n_batches // 20)).select("h")
     frequent = np.sort(np.array([r.h for r in often.collect()], np.int64).view(U))
     buckets = int(min(1 << 20, max(8, (total or 0) * 0.6 // entries_per_bucket + 1)))
-    groups = materialize(meet(index_entries(docs, n, scheme, frequent, deep, buckets), buckets), spots[1])
-    keyed = facts.where("n_shingles > 0 and doc_id is not null").select("doc_id", "key")
-    reps = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    wanted = groups.select(F.col("member").alias("key")).distinct().join(reps, "key").select(F.col("rep").alias("w"))
-    wanted = materialize(wanted, spots[2])
-    if wanted.count() <= small:
-        wanted = F.broadcast(wanted)
-
-    def sets_of(parts):
-        for _, sets in _sets(parts, n):
-            keys = np.array([int(mix(s).sum(dtype=U)) if len(s) else 0 for s in sets], U).view(np.int64)
-            columns = [pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "members", "n", "sketch"])
-
-    chosen = docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi").mapInArrow(sets_of, "key long, members binary, n long, sketch binary").dropDuplicates(["key"])
-    sets = materialize(chosen, spots[3])
+    keyed = facts.where("n_shingles > 0 and doc_id is not null")
+    of_key = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("check").alias("k0"), F.max("check").alias("k1"), F.count("*").alias("times"))
+    # different sets of one 64-bit key: none in 10^9 documents, on average three in 10^10
+    twins = frozenset(r.key & (1 << 64) - 1 for r in of_key.where("k0 <> k1").select("key").collect())
+    if twins:
+        rekey = F.udf(lambda key, check: _signed(rekeyed(key, check)) if key & (1 << 64) - 1 in twins else key, "long")
+        facts = facts.withColumn("key", F.when(F.col("n_shingles") > 0, rekey("key", "check")).otherwise(F.col("key")))
+        keyed = facts.where("n_shingles > 0 and doc_id is not null")
+        of_key = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("times"))
+    reps = of_key.select("key", "rep")
+    again = not keyed.groupBy("key", "doc_id").count().where("count > 1").isEmpty()
+    stars = materialize(meet(index_entries(docs, n, scheme, frequent, deep, buckets, twins), buckets).distinct(), spots[1])
+    cells = keyed.groupBy(F.col("key").alias("m")).agg(F.min("n_shingles").alias("n"), *(F.min(f"c{k}").alias(f"c{k}") for k in range(WORDS)))
 
     def fits(x: str, y: str):
-        sizes = [F.col(x + "size"), F.col(y + "size")]
+        sizes = [F.col(x + "n"), F.col(y + "n")]
         odd = sum((F.bit_count(F.col(f"{x}c{k}").bitwiseXOR(F.col(f"{y}c{k}"))) for k in range(WORDS)), F.lit(0))  # never more than differing elements
-        return (p * F.greatest(*sizes) <= q * F.least(*sizes)) & (odd * (p + q) <= (q - p) * (sizes[0] + sizes[1])) & (F.col(x + "flags").bitwiseOR(F.col(y + "flags")).bitwiseAND(F.lit(3)) == 3)
-
-    cells = facts.where("n_shingles > 0").groupBy(F.col("key").alias("k")).agg(*(F.min(f"c{k}").alias(f"c{k}") for k in range(WORDS)))
-    groups = groups.join(cells, F.col("member") == F.col("k")).drop("k")
-    links = link_in_groups(spark, groups, fits, lambda pairs: verify(pairs, sets, p, q), rounds=1)
-    named = reps.select(F.col("key"), "rep")
-    edges = links.join(named.toDF("a", "ra"), "a").join(named.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        return (p * F.greatest(*sizes) <= q * F.least(*sizes)) & (odd * (p + q) <= (q - p) * (sizes[0] + sizes[1]))
+
+    def check(pairs):
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(reps, "key").select(F.col("rep").alias("w")).distinct()
+        wanted = materialize(wanted, scratch(spark, "wanted"))
+        few = F.broadcast(wanted) if wanted.count() <= small else wanted
+        found = sets_of(docs.join(few, F.col("doc_id") == F.col("w"), "left_semi"), n, twins)
+        return verify(pairs, materialize(found.dropDuplicates(["key"]) if again else found, scratch(spark, "sets")), p, q)
+
+    side = lambda s: cells.toDF(*(s + c for c in cells.columns))
+    met = stars.join(side("x"), F.col("hub") == F.col("xm")).join(side("y"), F.col("member") == F.col("ym"))
+    stars = materialize(met.select("hub", "member", fits("x", "y").alias("fits")), spots[2])
+    links = link_in_clusters(spark, stars, lambda members: members.join(cells, "m"), fits, check)
+    edges = links.join(reps.toDF("a", "ra"), "a").join(reps.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     roots = connected_components(spark, edges).withColumnRenamed("node", "rep")
-    for spot in (spots[1], spots[2], spots[3]):
+    for spot in spots[1:]:
         discard(spark, spot)
     of_key = reps.join(roots, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
-    full = facts.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "key").join(of_key, "key").select("doc_id", "n_shingles", "component_id")
+    full = keyed.select("doc_id", "n_shingles", "key").join(of_key, "key").select("doc_id", "n_shingles", "component_id")
     return full.unionAll(facts.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """docs with one row of each group of linked documents, that of the smallest doc_id; columns as they are."""
-    found = jaccard_components(spark, docs, **options)
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("g_doc_id")).distinct()
-    key = F.col(f"_col{docs.columns.index('doc_id')}").cast("long")
-    return positional(docs).join(gone, key == F.col("g_doc_id"), "left_anti").toDF(*docs.columns)
+    """docs with one row of each group of linked documents, that of the smallest doc_id (null first); columns as they are.
+
+    Rows that repeat a doc_id, or have none, are documents of their own: of equal ones among them one stays, too. Rows
+    without words all stay. An empty table gives no row.
+    """
+    rows = identified(spark, docs)
+    found = jaccard_components(spark, rows.select(F.col("_row").alias("doc_id"), F.col(f"_col{docs.columns.index('text')}").alias("text")), **options)
+    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("g_row"))
+    return rows.join(gone, F.col("_row") == F.col("g_row"), "left_anti").drop("_row").toDF(*docs.columns)

@@ -283,9 +283,8 @@ def test_pigeonhole_loses_no_pair():
         assert any((by[s, 0] | by[s, 1]) & 3 == 3 for s in {s for s, _ in by} if by.get((s, 0)) and by.get((s, 1)))
 
 
-def line_set(line, width=12):
-    raw = line.encode()
-    return {raw[k : k + width] for k in range(len(raw)) if k == 0 or raw[k - 1 : k] == b" "}
+def char_set(line, width=5):
+    return {line[k : k + width] for k in range(max(1, len(line) - width + 1))}
 
 
 def test_op7(spark, docs, empty):
@@ -295,7 +294,7 @@ def test_op7(spark, docs, empty):
     table = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, places string")
     got = {r.doc_id: r for r in lines.dedupe_lines(spark, table).collect()}
     places = sorted(((i is not None, i or 0), k, x) for i, t in rows for k, x in enumerate((t or "").split("\n")) if x.strip())
-    sets = [line_set(x) for _, _, x in places]
+    sets = [char_set(x) for _, _, x in places]
     root = components(range(len(places)), lambda a, b: 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]))
     stays = {places[r][:2] for r in root.values()}
     for i, t in rows:
@@ -305,10 +304,6 @@ def test_op7(spark, docs, empty):
     assert lines.dedupe_lines(spark, empty).count() == 0
 
 
-def char_set(line, width=5):
-    return {line[k : k + width] for k in range(max(1, len(line) - width + 1))}
-
-
 def test_op7_takes_shingles_at_every_character(spark):
     rnd = random.Random(9)
     stem = [" ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(n)) for n in (14, 14, 16, 70)]
