@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -49,6 +50,12 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver's JVM collect its garbage: only then Spark deletes the shuffle files of steps that are done."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _filesystem(uri: str):
     """(pyarrow filesystem or None for the local one, path)."""
     parts = urlparse(uri)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, scratch
+from .common import discard, materialize, release, scratch
 
 
 def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -37,14 +37,14 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         before = mark
 
 
-def link_in_clusters(spark: SparkSession, stars: DataFrame, sketch: Callable[[DataFrame], DataFrame], fits: Callable, check: Callable[[DataFrame], DataFrame], turns: int = 1) -> DataFrame:
+def link_in_clusters(spark: SparkSession, stars: DataFrame, sketch: Callable[[DataFrame], DataFrame], fits: Callable, check: Callable[[DataFrame], DataFrame], turns: int = 1, picks: int = 4) -> DataFrame:
     """Verified links (a, b) that connect all members who are connected by pairs of one cluster that pass `check`.
 
     stars: hub, member (long, distinct, hub <> member); a hub and its members are one cluster. First each member is
-    compared with its hub (if there is a column fits: where that is true), then, `turns` times, with another member of its cluster, if not connected with it yet. What
-    is then still unconnected inside a cluster, few where a cluster is alike, is compared pair by pair. sketch gives
-    the columns (m, any others) of members (m) by which fits(x, y), over columns prefixed by x and y, rules a pair
-    out. Groups of candidates that share most members should have the same hub (the least of a hash): then a pair
+    compared with its hub (if there is a column fits: where that is true), then, `turns` times, with some `picks` others of its cluster that it is not connected with
+    yet. What is then still unconnected inside a cluster, few where a cluster is alike, is compared pair by pair.
+    sketch gives the columns (m, any others) of members (m) by which fits(x, y), over columns prefixed by x and y,
+    rules a pair out. Groups of candidates that share most members should have the same hub (the least of a hash): then a pair
     stands in few clusters, however many groups it shares.
     """
     side = lambda df, s: df.toDF(*(c if c == "hub" else s + c for c in df.columns))
@@ -54,23 +54,28 @@ def link_in_clusters(spark: SparkSession, stars: DataFrame, sketch: Callable[[Da
     stars = stars.select("hub", "member")
     links = materialize(check(tried), scratch(spark, "links"))
     everyone = stars.unionAll(stars.select("hub", F.col("hub").alias("member")).distinct())
+    known = None
     for turn in range(1, turns + 2):
+        release(spark)
         roots = connected_components(spark, links)
         marked = everyone.join(roots, F.col("member") == F.col("node"), "left").select("hub", "member", F.coalesce("component", "member").alias("root"))
         mixed = marked.groupBy("hub").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1 and n > 2").select("hub")
-        open_ = materialize(marked.join(mixed, "hub"), scratch(spark, "open"))
-        # the hub has met all; it only matters here for the pairs that others make
-        open_ = open_.where("hub <> member")
+        open_ = materialize(marked.join(mixed, "hub"), scratch(spark, "open")).where("hub <> member")  # the hub has met all
+        if known is None:
+            known = materialize(sketch(open_.select(F.col("member").alias("m")).distinct()), scratch(spark, "sketches"))
+        rows = open_.join(known, F.col("member") == F.col("m")).drop("m")
+        mine, different = side(rows, "x"), (F.col("xmember") != F.col("ymember")) & (F.col("xroot") != F.col("yroot"))
         if turn <= turns:
-            other = open_.groupBy("hub").agg(F.min_by(F.struct("member", "root"), F.xxhash64("member", F.lit(turn))).alias("y")).select("hub", F.col("y.member").alias("ymember"), F.col("y.root").alias("yroot"))
-            pairs = side(open_, "x").join(other, "hub").where("xroot <> yroot")
+            row = F.struct(*(F.col(c).alias("y" + c) for c in rows.columns if c != "hub"))
+            picked = F.array(*(F.min_by(row, F.xxhash64("member", F.lit(10 * turn + k))) for k in range(picks)))
+            other = rows.groupBy("hub").agg(picked.alias("y")).select("hub", F.explode(F.array_distinct("y")).alias("y")).select("hub", "y.*")
+            pairs = mine.join(other, "hub").where(different & fits("x", "y"))
         else:
-            known = materialize(sketch(open_.select(F.col("member").alias("m")).distinct()), scratch(spark, "sketches"))
-            rows = open_.join(known, F.col("member") == F.col("m")).drop("m")
-            mine, other = side(rows, "x"), side(rows, "y").withColumnRenamed("hub", "other_hub")
-            pairs = mine.join(other, (F.col("hub") == F.col("other_hub")) & (F.col("xmember") < F.col("ymember")) & (F.col("xroot") != F.col("yroot")) & fits("x", "y"))
+            other = side(rows, "y").withColumnRenamed("hub", "other_hub")
+            pairs = mine.join(other, (F.col("hub") == F.col("other_hub")) & (F.col("xmember") < F.col("ymember")) & different & fits("x", "y"))
         pairs = pairs.select(*ordered("xmember", "ymember")).distinct().join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, scratch(spark, "pairs"))
         links = links.unionAll(materialize(check(pairs), scratch(spark, "links")))
         tried = tried.unionAll(pairs)
+    release(spark)
     return links

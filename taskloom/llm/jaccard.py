@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, identified, materialize, scratch, slices
+from .common import discard, identified, materialize, release, scratch, slices
 from .components import connected_components, link_in_clusters
 from .words import hashed_words
 
@@ -320,6 +320,13 @@ def meet(entries: DataFrame, buckets: int) -> DataFrame:
     return entries.repartition(buckets, "bucket").mapInArrow(run, "hub long, member long")
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """Parities of the number of elements in each of 2^(band + 2) cells, as bits."""
+    cells = 1 << max(3, int(len(members)).bit_length() + 1)
+    odd = np.bincount((mix(members ^ U(0x5851F42D4C957F2D)) & U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
 def parities(sets: list[np.ndarray]) -> np.ndarray:
     """WORDS 64-bit words for each set: parities of the number of elements in each of 64 WORDS cells."""
     out = np.zeros((len(sets), 64 * WORDS), np.int64)
@@ -328,6 +335,25 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out.astype(bool) & (out % 2 == 1), axis=1).view("<i8")
 
 
+def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs (a, b) that may have J >= p / q: cells of different parity never outnumber differing elements."""
+
+    def run(parts):
+        for b in parts:
+            keep = []
+            for x, y, m, n in zip(*(b.column(z).to_pylist() for z in ("sketch_a", "sketch_b", "n_a", "n_b"))):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                if len(x) > len(y):
+                    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+                elif len(y) > len(x):
+                    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+                keep.append((p + q) * int(np.bitwise_count(x ^ y).sum()) <= (q - p) * (m + n))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left, right = sets.selectExpr("key as a", "sketch as sketch_a", "n as n_a"), sets.selectExpr("key as b", "sketch as sketch_b", "n as n_b")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) whose sets (key, members) have J >= p / q."""
 
@@ -349,14 +375,15 @@ def verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, n: int, twins: frozenset[int]) -> DataFrame:
-    """key, members (the set, packed) of every row of docs."""
+    """key, members (the set, packed), n (its size), sketch of every row of docs."""
 
     def run(parts):
         for _, sets in _sets(parts, n):
             keys = np.array([key_of(s, twins) for s in sets], U).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "members"])
+            columns = [pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "members", "n", "sketch"])
 
-    return docs.mapInArrow(run, "key long, members binary")
+    return docs.mapInArrow(run, "key long, members binary, n long, sketch binary")
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int = 3, q: int = 4, entries_per_bucket: int = 500_000, small: int = 1_000_000) -> DataFrame:
@@ -404,11 +431,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
         wanted = materialize(wanted, scratch(spark, "wanted"))
         few = F.broadcast(wanted) if wanted.count() <= small else wanted
         found = sets_of(docs.join(few, F.col("doc_id") == F.col("w"), "left_semi"), n, twins)
-        return verify(pairs, materialize(found.dropDuplicates(["key"]) if again else found, scratch(spark, "sets")), p, q)
+        path = scratch(spark, "sets")
+        sets = materialize(found.dropDuplicates(["key"]) if again else found, path)
+        likely = materialize(plausible(pairs, sets, p, q), scratch(spark, "plausible"))
+        links = materialize(verify(likely, sets, p, q), scratch(spark, "verified"))
+        discard(spark, path)
+        return links
 
     side = lambda s: cells.toDF(*(s + c for c in cells.columns))
     met = stars.join(side("x"), F.col("hub") == F.col("xm")).join(side("y"), F.col("member") == F.col("ym"))
     stars = materialize(met.select("hub", "member", fits("x", "y").alias("fits")), spots[2])
+    release(spark)
     links = link_in_clusters(spark, stars, lambda members: members.join(cells, "m"), fits, check)
     edges = links.join(reps.toDF("a", "ra"), "a").join(reps.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     roots = connected_components(spark, edges).withColumnRenamed("node", "rep")
