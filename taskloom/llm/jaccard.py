@@ -308,14 +308,15 @@ def meet(entries: DataFrame, buckets: int) -> DataFrame:
             sig, flags, key = sig[same], flags[same], keys[local[same]]
             if not len(sig):
                 continue
+            key = key.view(np.int64)
             order = np.lexsort((key, sig))
             sig, flags, key = sig[order], flags[order], key[order]
             edge = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1], True])
             hub = np.repeat(key[edge[:-1]], np.diff(edge))
             both = np.bitwise_or.reduceat(flags & 3, edge[:-1]) == 3  # some set asks and some is indexed
             good = np.repeat(both, np.diff(edge)) & (hub != key)
-            stars = np.unique(np.stack([hub[good], key[good]]), axis=1) if good.any() else np.empty((2, 0), U)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64)) for c in stars], ["hub", "member"])
+            stars = np.unique(np.stack([hub[good], key[good]]), axis=1) if good.any() else np.empty((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in stars], ["hub", "member"])
 
     return entries.repartition(buckets, "bucket").mapInArrow(run, "hub long, member long")
 
@@ -335,55 +336,75 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out.astype(bool) & (out % 2 == 1), axis=1).view("<i8")
 
 
-def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) that may have J >= p / q: cells of different parity never outnumber differing elements."""
+def may_reach(x: bytes, y: bytes, m: int, n: int, p: int, q: int) -> bool:
+    """Whether sets of m and n elements with these sketches may have J >= p / q: odd cells never outnumber differing elements."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) > len(b):
+        a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    elif len(b) > len(a):
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return (p + q) * int(np.bitwise_count(a ^ b).sum()) <= (q - p) * (m + n)
 
-    def run(parts):
-        for b in parts:
-            keep = []
-            for x, y, m, n in zip(*(b.column(z).to_pylist() for z in ("sketch_a", "sketch_b", "n_a", "n_b"))):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                if len(x) > len(y):
-                    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
-                elif len(y) > len(x):
-                    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
-                keep.append((p + q) * int(np.bitwise_count(x ^ y).sum()) <= (q - p) * (m + n))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left, right = sets.selectExpr("key as a", "sketch as sketch_a", "n as n_a"), sets.selectExpr("key as b", "sketch as sketch_b", "n as n_b")
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
 
+def reaches(x: bytes, y: bytes, m: int, n: int, p: int, q: int) -> bool:
+    """Whether two packed sets have J >= p / q."""
+    a, b = np.frombuffer(x, U), np.frombuffer(y, U)
+    if not len(a) or not len(b):
+        return False
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    common = int((b[at] == a).sum())
+    return q * common >= p * (len(a) + len(b) - common)
 
-def verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) whose sets (key, members) have J >= p / q."""
 
-    def run(parts):
-        for b in parts:
-            a, c = b.column("a").to_pylist(), b.column("b").to_pylist()
-            keep = []
-            for k, (x, y) in enumerate(zip(b.column("set_a"), b.column("set_b"))):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                common = int((y[at] == x).sum()) if len(y) else 0
-                if q * common >= p * (len(x) + len(y) - common) and common:
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.int64()), pa.array([c[k] for k in keep], pa.int64())], ["a", "b"])
+def compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, twins: frozenset[int], pack, holds, small: int) -> DataFrame:
+    """The pairs (a, b) of keys for which holds(packed a, packed b, size of a, size of b); pack makes bytes of a set.
 
-    left, right = sets.select(F.col("key").alias("a"), F.col("members").alias("set_a")), sets.select(F.col("key").alias("b"), F.col("members").alias("set_b"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    What is packed is shuffled once, by a: the row of a comes first, then its partners stream past it. reps: key, rep
+    (a document of that set). small: the most pairs that are broadcast to the documents, some 40 bytes each.
+    """
+    spark = pairs.sparkSession
+    roles = pairs.select("a", F.col("b").alias("key")).unionAll(pairs.select("a", F.col("a").alias("key")).distinct())
+    roles = roles.join(reps, "key").groupBy(F.col("rep").alias("w"), "key").agg(F.collect_set("a").alias("hubs"))
+    roles = materialize(roles, scratch(spark, "roles"))
+    few = F.broadcast(roles) if pairs.count() <= small else roles
 
+    def made(parts):
+        shingler = Shingler(n)
 
-def sets_of(docs: DataFrame, n: int, twins: frozenset[int]) -> DataFrame:
-    """key, members (the set, packed), n (its size), sketch of every row of docs."""
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["hub", "key", "n", "data"])
 
-    def run(parts):
-        for _, sets in _sets(parts, n):
-            keys = np.array([key_of(s, twins) for s in sets], U).view(np.int64)
-            columns = [pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "members", "n", "sketch"])
+        for b in parts:
+            for held in slices(b, 1 << 20):
+                rows, weight = [], 0
+                for s, key, hubs in zip(shingler(held.column("text")), held.column("key").to_pylist(), held.column("hubs").to_pylist()):
+                    if _signed(key_of(s, twins)) != key:
+                        continue  # another text of the same doc_id
+                    data = pack(s)
+                    for hub in hubs:
+                        rows.append((hub, key, len(s), data))
+                        weight += len(data)
+                        if weight > 8 << 20:
+                            yield batch(rows)
+                            rows, weight = [], 0
+                if rows:
+                    yield batch(rows)
+
+    def met(parts):
+        hub = first = size = None
+        for b in parts:
+            a, c = [], []
+            for h, key, m, data in zip(b.column("hub").to_pylist(), b.column("key").to_pylist(), b.column("n").to_pylist(), b.column("data")):
+                if h == key:
+                    hub, first, size = h, data.as_py(), m
+                elif h == hub and holds(first, data.as_py(), size, m):
+                    a.append(h)
+                    c.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
 
-    return docs.mapInArrow(run, "key long, members binary, n long, sketch binary")
+    rows = docs.join(few, F.col("doc_id") == F.col("w")).select("text", "key", "hubs").mapInArrow(made, "hub long, key long, n long, data binary")
+    return rows.repartition("hub").sortWithinPartitions(F.col("hub"), F.col("hub") != F.col("key")).mapInArrow(met, "a long, b long").distinct()
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int = 3, q: int = 4, entries_per_bucket: int = 500_000, small: int = 1_000_000) -> DataFrame:
@@ -392,7 +413,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
     Null texts and texts without words have the empty set and link with nothing, not even with each other. Rows that
     repeat a doc_id are rows like others. A row without doc_id links with nothing and has no component_id. Texts of
     any length count whole; other columns, whatever their names, are not read. An empty table gives no row.
-    small: the most ids of documents (8 bytes each) that are broadcast.
+    small: the most pairs whose documents are named to all tasks (some 40 bytes each).
     """
     scheme = Scheme(p, q)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -408,16 +429,15 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
     frequent = np.sort(np.array([r.h for r in often.collect()], np.int64).view(U))
     buckets = int(min(1 << 20, max(8, (total or 0) * 0.6 // entries_per_bucket + 1)))
     keyed = facts.where("n_shingles > 0 and doc_id is not null")
-    of_key = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("check").alias("k0"), F.max("check").alias("k1"), F.count("*").alias("times"))
+    of_key = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("check").alias("k0"), F.max("check").alias("k1"))
     # different sets of one 64-bit key: none in 10^9 documents, on average three in 10^10
     twins = frozenset(r.key & (1 << 64) - 1 for r in of_key.where("k0 <> k1").select("key").collect())
     if twins:
         rekey = F.udf(lambda key, check: _signed(rekeyed(key, check)) if key & (1 << 64) - 1 in twins else key, "long")
         facts = facts.withColumn("key", F.when(F.col("n_shingles") > 0, rekey("key", "check")).otherwise(F.col("key")))
         keyed = facts.where("n_shingles > 0 and doc_id is not null")
-        of_key = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("times"))
+        of_key = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"))
     reps = of_key.select("key", "rep")
-    again = not keyed.groupBy("key", "doc_id").count().where("count > 1").isEmpty()
     stars = materialize(meet(index_entries(docs, n, scheme, frequent, deep, buckets, twins), buckets).distinct(), spots[1])
     cells = keyed.groupBy(F.col("key").alias("m")).agg(F.min("n_shingles").alias("n"), *(F.min(f"c{k}").alias(f"c{k}") for k in range(WORDS)))
 
@@ -427,16 +447,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, p: int
         return (p * F.greatest(*sizes) <= q * F.least(*sizes)) & (odd * (p + q) <= (q - p) * (sizes[0] + sizes[1]))
 
     def check(pairs):
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(reps, "key").select(F.col("rep").alias("w")).distinct()
-        wanted = materialize(wanted, scratch(spark, "wanted"))
-        few = F.broadcast(wanted) if wanted.count() <= small else wanted
-        found = sets_of(docs.join(few, F.col("doc_id") == F.col("w"), "left_semi"), n, twins)
-        path = scratch(spark, "sets")
-        sets = materialize(found.dropDuplicates(["key"]) if again else found, path)
-        likely = materialize(plausible(pairs, sets, p, q), scratch(spark, "plausible"))
-        links = materialize(verify(likely, sets, p, q), scratch(spark, "verified"))
-        discard(spark, path)
-        return links
+        likely = compare(pairs, docs, reps, n, twins, sketch, lambda *x: may_reach(*x, p, q), small)
+        likely = materialize(likely, scratch(spark, "plausible"))
+        return compare(likely, docs, reps, n, twins, lambda s: s.tobytes(), lambda *x: reaches(*x, p, q), small)
 
     side = lambda s: cells.toDF(*(s + c for c in cells.columns))
     met = stars.join(side("x"), F.col("hub") == F.col("xm")).join(side("y"), F.col("member") == F.col("ym"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize, positional, scratch, slices
+from .common import ASCII_SPACE, identified, materialize, scratch, slices
 
 SYMBOLS = "#*$%&|<>"  # fixed value of the contract
 #: rule -> its cutoffs, most lenient first; a document is rejected if its share exceeds the cutoff
@@ -171,8 +171,17 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("failed_rule").isNull().alias("kept"), "failed_rule")
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """docs without the rejected rows; columns as they are."""
-    verdict = judge(spark, docs, labels, **options).where("kept").select(F.col("doc_id").alias("v_doc_id")).distinct()
-    key = F.col(f"_col{docs.columns.index('doc_id')}").cast("long")
-    return positional(docs).join(verdict, key.eqNullSafe(F.col("v_doc_id")), "left_semi").toDF(*docs.columns)
+def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
+    """docs without the rejected rows; columns as they are, whatever their names.
+
+    Each row has its own verdict, also rows that repeat a doc_id or have none (these have no label). Null and empty
+    texts go, as they have no words; texts of any length count whole. An empty table gives no row.
+    """
+    rows = identified(spark, docs)
+    column = lambda name: F.col(f"_col{docs.columns.index(name)}")
+    marks = labels.select(F.col("doc_id").cast("long").alias("mark"), "quality")
+    named = rows.select(F.col("_row").alias("doc_id"), column("doc_id").cast("long").alias("key"))
+    own = marks.join(named, F.col("mark") == F.col("key")).select("doc_id", "quality")
+    narrow = rows.select(F.col("_row").alias("doc_id"), column("text").alias("text"), column(stratum).alias(stratum))
+    verdict = judge(spark, narrow, own, stratum, **options).where("kept").select(F.col("doc_id").alias("v_row"))
+    return rows.join(verdict, F.col("_row") == F.col("v_row"), "left_semi").drop("_row").toDF(*docs.columns)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, positional, scratch, slices
+from .common import identified, materialize, scratch, slices
 from .jaccard import mix
 from .words import hashed_words
 
@@ -165,7 +165,11 @@ def _tiler(table, least, coverage):
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """docs without those that cover an item; columns as they are."""
-    found = materialize(tile_coverage(spark, docs, benchmark, **options).select(F.col("doc_id").alias("c_doc_id")).distinct(), scratch(spark, "contaminated"))
-    key = F.col(f"_col{docs.columns.index('doc_id')}").cast("long")
-    return positional(docs).join(found, key == F.col("c_doc_id"), "left_anti").toDF(*docs.columns)
+    """docs without those rows that cover an item; columns as they are, whatever their names.
+
+    Rows that repeat a doc_id or have none are judged one by one; null and empty texts stay.
+    """
+    rows = identified(spark, docs)
+    narrow = rows.select(F.col("_row").alias("doc_id"), F.col(f"_col{docs.columns.index('text')}").alias("text"))
+    found = materialize(tile_coverage(spark, narrow, benchmark, **options).select(F.col("doc_id").alias("c_row")).distinct(), scratch(spark, "contaminated"))
+    return rows.join(found, F.col("_row") == F.col("c_row"), "left_anti").drop("_row").toDF(*docs.columns)

@@ -31,7 +31,7 @@ TEXTS = [
     "a b c d e f g h i j k l\n" * 5, "<|endoftext|> x\x0by\x1cz é", "tie tie tie", prose(60) + " " + " ".join(PARTS[20:60]),
 ]
 ROWS = [(k, t) for k, t in enumerate(TEXTS)] + [(5, LONG), (None, "no id here"), (40, " ".join(PARTS))]
-EXTRA = ["lang", "start", "key", "l", "place", "places", "t1", "length", "salt", "rank", "root", "group", "v_doc_id", "g_doc_id", "c_doc_id", "r_doc_id", "n_lines", "path", "h", "w"]
+EXTRA = ["lang", "start", "key", "l", "place", "places", "t1", "length", "salt", "rank", "root", "group", "v_doc_id", "g_doc_id", "c_doc_id", "r_doc_id", "_row", "v_row", "c_row", "g_row", "r_row", "n_lines", "path", "h", "w"]
 
 
 @pytest.fixture(scope="module")
