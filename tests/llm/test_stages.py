@@ -107,3 +107,18 @@ def test_jaccard_resolves_equal_keys_of_different_sets(spark):
     key = jaccard.identity(a)[0]
     assert jaccard.key_of(a, frozenset()) == key and jaccard.key_of(a, frozenset([key])) != key
     assert jaccard.key_of(b, frozenset([key])) == jaccard.identity(b)[0]
+
+
+def test_line_sketches_count_differing_bytes(spark):
+    values = [[RND.getrandbits(32) - (1 << 31) for _ in range(40)] for _ in range(12)]
+    for k in range(1, 12):
+        for j in RND.sample(range(40), 40 - 3 * k):
+            values[k][j] = values[0][j]
+    names = [f"b{j}" for j in range(40)]
+    table = spark.createDataFrame([(k, 40, *v) for k, v in enumerate(values)], "l long, full int, " + ", ".join(f"{n} int" for n in names))
+    made = lines.sketches(table, 40)
+    side = lambda s: made.toDF(*(s + c for c in made.columns))
+    pairs = side("x").join(side("y"), on=None, how="cross").select("xm", "ym", lines.may_match(40, "x", "y").alias("fits"))
+    for r in pairs.collect():
+        same = sum((a >> 8 & 255) == (b >> 8 & 255) for a, b in zip(values[r.xm], values[r.ym]))
+        assert r.fits == (same >= 15), (r, same)
