@@ -134,7 +134,7 @@ def greedy_dedup(spark, sf_dir):
     signed = staged(dedup.signatures(d, "doc_id", "text"))
     links = dedup.expand_copies(dedup.similar_pairs(signed, "doc_id"), signed, "doc_id")
     rows = d.select(F.col("doc_id").alias("seq"), F.sha2("text", 256).alias("hash"), F.col("lang").alias("cell"), F.lit(1 << 30).alias("cap"), F.col("doc_id").cast("string").alias("base_id"), F.lit("train").alias("split"))
-    return dedup.accept_in_order(rows, links)
+    return dedup.accept_in_order(rows, links).select("seq", "accepted")
 
 
 def exact_keys(spark, sf_dir):
