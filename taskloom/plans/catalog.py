@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import fixed, gates, metrics, minhash, text
+from ..functions import codegen, fixed, gates, metrics, minhash, text
 from ..functions.graphs import cycle_flag
 from ..operators import dedup
 from ..operators.mutations import resolve_severity
@@ -13,6 +13,7 @@ from ..operators.solver import solution
 from ..operators.validation import validated_mutation
 from ..schema import SPEC
 from ..sources.projects import activities_of_orders, projects_of_orders
+from ..sources.providers import call_cost
 from ..sources.staging import staged
 from . import batch
 from .oracle import ORACLE_SQL
@@ -79,8 +80,15 @@ def graph_summary(spark, sf_dir):
     return projects_of_orders(spark, sf_dir).select("project", text.graph_summary(F.col).alias("body"))
 
 
+def generated_program(spark, sf_dir):
+    """The stand-alone program of every project, all nine sections."""
+    return projects_of_orders(spark, sf_dir).select("project", codegen.program(F.col).alias("c"))
+
+
 def code_syntax(spark, sf_dir):
-    g = projects_of_orders(spark, sf_dir).select("project", text.program(F.col).alias("c"))
+    """Gate 2 on programs of which every third has lost its last bracket."""
+    cut = F.when(F.col("project") % 3 == 0, F.regexp_replace("c", r"\)\s*$", "")).otherwise(F.col("c"))
+    g = generated_program(spark, sf_dir).withColumn("c", cut)
     return g.select("project", gates.syntax_reason(F.col("c")).isNull().alias("compiles"))
 
 
@@ -218,7 +226,7 @@ def call_costs(spark, sf_dir):
     words = F.size(F.expr("filter(split(text, ' '), w -> w <> '')"))
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "role", words.alias("n"))
     calls = c.groupBy("conv_id").agg(F.sum(F.when(F.col("role") == "user", F.col("n")).otherwise(0)).alias("tokens_in"), F.sum(F.when(F.col("role") == "assistant", F.col("n")).otherwise(0)).alias("tokens_out"))
-    return calls.withColumn("cost", F.round((F.col("tokens_in") * fixed.PRICE_IN + F.col("tokens_out") * fixed.PRICE_OUT) / 1000, 8))
+    return calls.withColumn("cost", F.round(call_cost(F.col("tokens_in"), F.col("tokens_out")), 8))
 
 
 def quota_caps(spark, sf_dir):
@@ -237,7 +245,7 @@ def batch_report(spark, sf_dir):
 
 
 _ALL = (
-    gate0_prefilter, gate0_report, project_metrics, structural_hash, difficulty_hist, critical_path, horizon, distance_edges, cycle_flags, structure_text, graph_summary, code_syntax,
+    gate0_prefilter, gate0_report, project_metrics, structural_hash, difficulty_hist, critical_path, horizon, distance_edges, cycle_flags, structure_text, graph_summary, generated_program, code_syntax,
     gate1_structural, severity_numbers, mutation_apply, shingle_counts, minhash_signature, minhash_bands, lsh_pairs, greedy_dedup, exact_keys, quota_hold, split_leaks, stratified_split, split_counts,
     expansion, mode_requests, gap_loss_weight, solver_bounds, first_failure, resource_join, batch_stats, call_costs, quota_caps, batch_report,
 )

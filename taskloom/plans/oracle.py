@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ..functions import fixed, minhash
+from ..functions import codegen, fixed, minhash
+from ..sources.projects import CAPACITIES
 
 _ACTS = """acts AS (
   SELECT l_orderkey AS project, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS INTEGER) AS id,
@@ -39,6 +40,17 @@ _SEVERITY = f"""{_METRICS}, heads AS (SELECT a.project, a.resource, c.capacity,
 numbers AS (SELECT *, CASE severity WHEN 'minor' THEN 1 WHEN 'moderate' THEN 2 WHEN 'major' THEN greatest(1, capacity // 2) ELSE greatest(1, CAST(floor(capacity * 0.9) AS INTEGER)) END AS delta,
   greatest(1, cp // (CASE severity WHEN 'minor' THEN 8 WHEN 'moderate' THEN 5 WHEN 'major' THEN 3 ELSE 2 END)) AS length, 2 * cp // 5 + draw % (3 * cp // 5 - 2 * cp // 5 + 1) AS t_start FROM heads)"""
 
+
+def _quoted(text: str) -> str:
+    """text as a SQL literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _kinds() -> str:
+    """The four resources of the projects made of orders as JSON, a SQL literal."""
+    return _quoted(",".join(f'{{"id":"{k}","capacity":{v},"downtime":[]}}' for k, v in CAPACITIES.items()))
+
+
 ORACLE_SQL = {
     "gate0_prefilter": f"WITH {_WORDS} SELECT doc_id, {_GATE0} AS reason FROM words",
     "gate0_report": f"WITH {_WORDS} SELECT regexp_replace(coalesce({_GATE0}, 'pass'), '\\d+ words, ', '', 'g') AS reason, count(*) AS n FROM words GROUP BY 1",
@@ -55,7 +67,13 @@ ORACLE_SQL = {
         SELECT project, concat_ws(chr(10), 'RESOURCES:', '  R1(renewable,cap=4)', '  R2(renewable,cap=3)', '  R3(renewable,cap=2)', '  R4(renewable,cap=5)', '', 'TASKS:', '  (id, dur, R1, R2, R3, R4):', tasks, '  Precedences:', links) AS body FROM t LEFT JOIN e USING (project)""",
     "graph_summary": f"""WITH {_METRICS} SELECT project, concat_ws(chr(10), 'instance_id: o' || project, 'constraint_type: TYPE-C', 'activities: ' || n, 'renewable resources: R1(cap=4), R2(cap=3), R3(cap=2), R4(cap=5)', 'critical_path_length: ' || CAST(cp AS INTEGER),
         'network_density: ' || printf('%.2f', round(density + 1e-9, 2)), 'RF: ' || printf('%.2f', round(rf + 1e-9, 2)) || '   RS: ' || printf('%.2f', round(rs + 1e-9, 2)), 'difficulty: ' || difficulty) AS body FROM d JOIN paths USING (project)""",
-    "code_syntax": "SELECT DISTINCT l_orderkey AS project, true AS compiles FROM lineitem",
+    "generated_program": f"""WITH {_ACTS}, t AS (SELECT project, sum(duration) AS days, string_agg('{{"id":' || id || ',"duration":' || duration || ',"demands":{{"' || resource || '":' || demand || '}}}}', ',' ORDER BY id) AS tasks FROM acts GROUP BY 1),
+        e AS (SELECT project, sum(lag_min) AS lags, string_agg('{{"i":' || i || ',"j":' || j || ',"relation":"' || relation || '","lag_min":' || lag_min || coalesce(',"lag_max":' || lag_max, '') || '}}', ',' ORDER BY i) AS links FROM edges GROUP BY 1)
+        SELECT project, concat_ws(chr(10), {_quoted(codegen.IMPORTS)},
+          '# 2. data' || chr(10) || 'DATA = json.loads(''{{"constraint_type":"TYPE-C","activities":[' || tasks || '],"resources":[' || {_kinds()} || '],"precedences":[' || coalesce(links, '') || '],"objective":{{"type":"minimize_makespan"}}}}'')' || chr(10),
+          '# 3. model' || chr(10) || 'HORIZON = ' || CAST(days + coalesce(lags, 0) AS BIGINT) || chr(10) || 'model = cp_model.CpModel()' || chr(10),
+          {", ".join(_quoted(x) for x in (codegen.VARIABLES_SINGLE, codegen.RESOURCES_SINGLE, codegen.PRECEDENCES, codegen.OBJECTIVE, codegen.SOLVE, codegen.OUTPUT))}) AS c FROM t LEFT JOIN e USING (project)""",
+    "code_syntax": "SELECT DISTINCT l_orderkey AS project, l_orderkey % 3 <> 0 AS compiles FROM lineitem",
     "gate1_structural": f"WITH {_ACTS} SELECT project, CASE WHEN bool_or(duration <= 0) THEN 'a duration is not positive' ELSE 'no mutations applied' END AS reason FROM acts GROUP BY 1",
     "severity_numbers": f"WITH {_SEVERITY} SELECT project, resource, severity, CAST(delta AS INTEGER) AS delta, CAST(length AS INTEGER) AS length, CAST(t_start AS INTEGER) AS t_start FROM numbers",
     "mutation_apply": f"""WITH {_SEVERITY}, bad AS (SELECT project, bool_or(lag_max < lag_min) AS cycle FROM edges GROUP BY 1), r AS (SELECT n.project, CASE WHEN n.delta >= n.capacity THEN '#0: delta >= capacity; freeze_resource is for a full shutdown' WHEN coalesce(b.cycle, false) THEN 'temporal constraints form a positive cycle' END AS reason FROM numbers n LEFT JOIN bad b USING (project))
