@@ -102,22 +102,25 @@ def slots(plan: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarray
     return {k: np.array(v, np.int64) for k, v in table.items()}
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, capacity: int = 2048, vocabulary: str = "word_bpe_49k.json", end_id: int = 0, salts: int = 64) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, capacity: int = 2048, vocabulary: str = "word_bpe_49k.json", end_id: int = 0, salt_rows: int = 200_000) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of docs (doc_id, text, any others).
 
     Null text counts as empty and gives one piece that is the end id alone. Rows that repeat a doc_id are packed one
-    by one. An empty table gives no row.
+    by one. An empty table gives no row. Texts of any length count whole. The pieces of one length are ranked in groups
+    of about salt_rows, so a common length is as many groups as it has rows for; the driver holds one number a group.
     """
     pieces = materialize(cut_pieces(docs, capacity, vocabulary, end_id), scratch(spark, "pieces"))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
-    counts = salted.groupBy("length", "salt").count()
-    # at most capacity x salts rows, whatever the corpus
-    by_salt = {(r["length"], r["salt"]): r["count"] for r in counts.collect()}
-    histogram: dict[int, int] = {}
-    before: dict[int, np.ndarray] = {}
-    for length, salt in sorted(by_salt):
-        before.setdefault(length, np.zeros(salts, np.int64))[salt] = histogram.get(length, 0)
-        histogram[length] = histogram.get(length, 0) + by_salt[length, salt]
+    # at most capacity rows, whatever the corpus
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    groups = {length: -(-n // salt_rows) for length, n in histogram.items()}
+    counted = F.broadcast(spark.createDataFrame(list(groups.items()), "s_length long, salts long"))
+    salted = pieces.join(counted, F.col("length") == F.col("s_length")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "salts").cast("int")).drop("s_length", "salts")
+    # at most capacity rows and one more for each salt_rows pieces
+    by_salt = {(r["length"], r["salt"]): r["count"] for r in salted.groupBy("length", "salt").count().collect()}
+    before = {length: np.zeros(n, np.int64) for length, n in groups.items()}
+    for length, n in groups.items():
+        sizes = [by_salt.get((length, salt), 0) for salt in range(n - 1)]
+        before[length][1:] = np.cumsum(sizes, dtype=np.int64)
     table = slots(plan_bins(histogram, capacity))
     ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
 

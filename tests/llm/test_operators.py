@@ -152,8 +152,9 @@ def test_tiles_against_brute_force():
         assert not any((a[p : p + least] == b[t : t + least]).all() for p in free(a, used_a, least) for t in free(b, used_b, least)) or not len(a)
 
 
-def test_op4(spark, docs, empty):
-    got = packing.pack_documents(spark, docs, capacity=64, salts=4).collect()
+@pytest.mark.parametrize("salt_rows", [1, 3, 1000])
+def test_op4(spark, docs, empty, salt_rows):
+    got = packing.pack_documents(spark, docs, capacity=64, salt_rows=salt_rows).collect()
     want = collections.Counter()
     for i, t in ROWS:
         ids = token_ids(t) + [0]
@@ -401,6 +402,10 @@ def test_op10(spark, tmp_path):
         want[i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", 1 if again else None] += 1
     assert got == want
     assert warc.archive_pages(spark, pages.where("false")).count() == 0
+    manifest = warc.write_archives(spark, pages, f"{tmp_path}/archives")
+    back = collections.Counter((r.page_id, bytes(r.payload)) for r in warc.resolve_revisits(spark, manifest).collect())
+    assert back == collections.Counter((i, (h or "").encode()) for i, _, h in rows)
+    assert warc.resolve_revisits(spark, manifest.where("false")).count() == 0
     record = gzip.compress(warc.build_record(9, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), None, "2024-01-01T00:00:00Z"))
     (head, block), = warc.read_records(io.BytesIO(record))
     assert head["warc-type"] == "response" and block.endswith(b"abc")
