@@ -7,12 +7,15 @@ the longest common runs of words that are not yet marked, marks them as tiles an
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import identified, materialize, scratch, slices
+from .common import identified, materialize, reading, scratch, slices
 from .jaccard import mix
 from .words import hashed_words
 
@@ -129,25 +132,40 @@ def tile_coverage(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, le
     Words are `[^\\x20\\x09-\\x0D]+` with A-Z in lower case, texts are taken whole. Items of fewer than `least` words must
     occur as a whole; items and documents without words, with null text or (items) null id match nothing. Rows that
     repeat an id count as items or documents of their own; equal result rows stay. Either table empty: no rows. Items
-    are sent to all tasks while they are at most `most_items_bytes`; a larger benchmark is dealt out in blocks of that
-    size, one pass over the documents each.
+    are written to the shared folder in blocks of some `most_items_bytes` (at least one item); the tasks of a pass over
+    the documents read one block, and the driver holds file names only.
     """
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
     blocks = int(size // most_items_bytes + 1)
+    folder = scratch(spark, "items")
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+    dealt.repartition(blocks, "block").write.partitionBy("block").parquet(folder)
+    files: dict[str, list[str]] = {}
+    for path in spark.read.schema("item_id long, text string, block int").parquet(folder).inputFiles():
+        files.setdefault(path.split("/block=")[-1].split("/")[0], []).append(path)
     out = None
-    for block in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        table = [(r.item_id, r.text) for r in own.collect()]  # of bounded size
-        part = rows.mapInArrow(_tiler(table, least, coverage), SCHEMA)
+    for block in sorted(files) or [None]:
+        part = rows.mapInArrow(_tiler(tuple(sorted(files.get(block, ()))), least, coverage), SCHEMA)
         out = part if out is None else out.unionAll(part)
     return out
 
 
-def _tiler(table, least, coverage):
+@lru_cache(maxsize=1)
+def _items(files: tuple[str, ...], least: int) -> Items:
+    """The items of one block, read from the shared folder; a Python worker keeps the last block for its next task."""
+    rows = []
+    for path in files:
+        with reading(path) as stream:
+            held = pq.read_table(stream, columns=["item_id", "text"])
+            rows += zip(held.column("item_id").to_pylist(), held.column("text").to_pylist())
+    return Items(rows, least)
+
+
+def _tiler(files, least, coverage):
     def run(parts):
-        items = Items(table, least)
+        items = _items(files, least)
         for b in parts:
             for held in slices(b, 4 << 20):
                 flat, ends = hashed_words(held.column("text"))
