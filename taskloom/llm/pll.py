@@ -23,6 +23,8 @@ from .words import split_words
 
 SIDE = 64  # classes, and words in a class
 SIZE = SIDE * SIDE
+ONES = np.ones(SIDE, np.float32)  # a product with it sums rows
+LARGEST = 80.0  # e^80 * SIDE and e^-80 are ordinary numbers of 32 bits
 
 
 class Network:
@@ -48,19 +50,29 @@ class Network:
     def _forward(self, line: np.ndarray, at: np.ndarray):
         p = self.parameters
         near = [line[at + k] for k in self.places]
-        hidden = np.tanh(sum(p["near"][j][w] for j, w in enumerate(near)))
+        hidden = np.take(p["near"][0], near[0], axis=0)
+        for j, w in enumerate(near[1:], 1):
+            hidden += np.take(p["near"][j], w, axis=0)
+        np.tanh(hidden, out=hidden)
         word = line[at]
         high, low = word // SIDE, word % SIDE
-        first, second = hidden @ p["classes"].T + p["class_bias"], hidden @ p["inside"].T + p["inside_bias"][high]
-        for x in (first, second):
-            x -= x.max(axis=1, keepdims=True)
+        first, second = hidden @ p["classes"].T, hidden @ p["inside"].T
+        first += p["class_bias"]
+        second += np.take(p["inside_bias"], high, axis=0)
+        for x, table, bias in ((first, "classes", "class_bias"), (second, "inside", "inside_bias")):
+            # no part of hidden is beyond 1, which bounds x; only beyond what exp of 32 bits takes, rows are shifted
+            if np.abs(p[table]).sum(axis=1).max() + np.abs(p[bias]).max() > LARGEST:
+                x -= x.max(axis=1, keepdims=True)
         return near, hidden, high, low, first, second
 
     def log_likelihood(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log p of the words at the given places of a padded line of word numbers."""
         _, _, high, low, first, second = self._forward(line, at)
         rows = np.arange(len(at))
-        return (first[rows, high] + second[rows, low]).astype(np.float64) - np.log(np.exp(first).sum(axis=1, dtype=np.float64)) - np.log(np.exp(second).sum(axis=1, dtype=np.float64))
+        own = (first[rows, high] + second[rows, low]).astype(np.float64)
+        for x in (first, second):
+            own -= np.log((np.exp(x, out=x) @ ONES).astype(np.float64))
+        return own
 
     def start_training(self, rate: float = 0.1) -> None:
         self.rate, self.squares = rate, {k: np.full(v.shape, 1e-3, np.float32) for k, v in self.parameters.items()}
@@ -72,9 +84,8 @@ class Network:
         rows = np.arange(len(at))
         for x, target in ((first, high), (second, low)):
             np.exp(x, out=x)
-            x /= x.sum(axis=1, keepdims=True)
-            x[rows, target] -= 1
-            x *= n
+            x *= (n / (x @ ONES))[:, None]
+            x[rows, target] -= n
         back = (first @ p["classes"] + second @ p["inside"]) * (1 - hidden * hidden)
         self._step("classes", first.T @ hidden)
         self._step("class_bias", first.sum(axis=0))
@@ -242,7 +253,7 @@ def score(numbered: DataFrame, flat: np.ndarray, width: int, reach: int) -> Data
         for b in parts:
             for names, held in _lines(b, "row", "doc_id"):
                 line, at = padded(held, reach)
-                value = np.concatenate([own.log_likelihood(line, at[k : k + 8192]) for k in range(0, len(at), 8192)] or [np.empty(0)])
+                value = np.concatenate([own.log_likelihood(line, at[k : k + 2048]) for k in range(0, len(at), 2048)] or [np.empty(0)])
                 sizes = [len(x) for x in held]
                 total = [math.fsum(value[e - n : e]) for n, e in zip(sizes, np.cumsum(sizes).tolist())]
                 rows, ids = zip(*names)
