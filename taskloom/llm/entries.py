@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, editcount, jaccard, lines, packing, pll, quality, suffix, tiling, warc
+from . import bitplane, bpe, editcount, jaccard, lines, packing, pll, quality, suffix, tiling, warc
 from .common import table
 
 
@@ -50,9 +50,14 @@ def op10_warc_revisits(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_bpe_round_trip(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_bitplane_tokens, op2_masked_likelihood, op3_string_tiling, op4_best_fit_packing, op5_suffix_dedup,
     op6_jaccard_join, op7_line_dedup, op8_edit_counts, op9_quality_rules, op10_warc_revisits,
+    op11_bpe_round_trip,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE_SQL = {
