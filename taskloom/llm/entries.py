@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, bpe, editcount, jaccard, lines, packing, pll, quality, runs, suffix, tiling, warc
+from . import bitplane, bpe, collocations, editcount, jaccard, lines, packing, pll, quality, runs, suffix, tiling, warc
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op11_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return runs.run_digests(table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ def op13_periodic_runs(spark, sf_dir):
 _ALL = (
     op1_bitplane_tokens, op2_masked_likelihood, op3_string_tiling, op4_best_fit_packing, op5_suffix_dedup,
     op6_jaccard_join, op7_line_dedup, op8_edit_counts, op9_quality_rules, op10_warc_revisits,
-    op11_bpe_round_trip, op13_periodic_runs,
+    op11_bpe_round_trip, op12_collocations, op13_periodic_runs,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE_SQL = {
