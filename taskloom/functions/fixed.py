@@ -59,3 +59,5 @@ PRIME = (1 << 61) - 1
 QUESTION_TYPES = (("optimization", 50), ("feasibility", 25), ("rescheduling", 25))
 PRICE_IN, PRICE_OUT = 0.0025, 0.01
 SPLIT_SHARES = (("train", 0.7), ("val", 0.1), ("test", 0.2))
+
+FULL_RUN_CANDIDATES = 95_000

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import codegen, fixed, gates, metrics, minhash, text
 from ..functions.graphs import cycle_flag
 from ..operators import dedup
+from ..operators.ordered import accept_in_order
 from ..operators.mutations import resolve_severity
 from ..operators.solver import solution
 from ..operators.validation import validated_mutation
@@ -139,10 +139,10 @@ def lsh_pairs(spark, sf_dir):
 def greedy_dedup(spark, sf_dir):
     """Ordered acceptance of documents by text alone (cells without a cap that binds)."""
     d = documents(spark, sf_dir)
-    signed = staged(dedup.signatures(d, "doc_id", "text"))
-    links = dedup.expand_copies(dedup.similar_pairs(signed, "doc_id"), signed, "doc_id")
+    signed = staged(dedup.signatures(d, "doc_id", "text").withColumn("class", dedup.signature_class(F.col("signature"))), "signed")
+    links = dedup.similar_pairs(signed.select("class", "signature").distinct(), "class").toDF("earlier", "later", "same")
     rows = d.select(F.col("doc_id").alias("seq"), F.sha2("text", 256).alias("hash"), F.col("lang").alias("cell"), F.lit(1 << 30).alias("cap"), F.col("doc_id").cast("string").alias("base_id"), F.lit("train").alias("split"))
-    return dedup.accept_in_order(rows, links).select("seq", "accepted")
+    return accept_in_order(rows.join(signed.select(F.col("doc_id").alias("seq"), "class"), "seq"), links).select("seq", "accepted")
 
 
 def exact_keys(spark, sf_dir):
@@ -191,7 +191,7 @@ def gap_loss_weight(spark, sf_dir):
 
 def solver_bounds(spark, sf_dir):
     """Schedules of the projects of all orders."""
-    s = projects_of_orders(spark, sf_dir).select("project", solution(text.target_model(F.col), 1.0).alias("s"))
+    s = projects_of_orders(spark, sf_dir).select("project", solution(text.target_model(F.col)).alias("s"))
     return s.select("project", "s.status", "s.objective", "s.best_bound")
 
 
@@ -232,16 +232,16 @@ def call_costs(spark, sf_dir):
 def quota_caps(spark, sf_dir):
     """Accepted rows by cell against its cap, counting in order: rows of each order priority and status."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("level", F.when(F.col("o_orderstatus") == "F", "easy").when(F.col("o_orderstatus") == "O", "medium").otherwise("hard"))
-    w = Window.partitionBy("o_orderpriority", "level").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, -1)
-    held = o.withColumn("held", F.count("*").over(w) >= dedup.cell_cap(F.col("level"), 1000))
+    held = dedup.quota_reason(o.select("o_orderpriority", "level", "o_orderkey"), ["o_orderpriority", "level"], "o_orderkey", dedup.cell_cap(F.col("level"), 1000))
     return held.groupBy("o_orderpriority", "level").agg(F.count("*").alias("n"), F.count_if("held").alias("n_held"))
 
 
 def batch_report(spark, sf_dir):
-    """The whole chain on the projects of all orders: labels of all candidates, as a report."""
-    g = projects_of_orders(spark, sf_dir)
-    out = batch.report(batch.run_gates(spark, batch.candidates(g), target=1000, seconds=1.0))
-    return out.withColumn("failures_by_gate", F.to_json("failures_by_gate"))
+    """The whole chain on the projects of all orders: labels of all attempts, as a report with costs."""
+    counters = batch.Counters()
+    labelled = batch.run_gates(spark, projects_of_orders(spark, sf_dir), target=1000, counters=counters)
+    out = batch.with_costs(batch.report(labelled), counters)
+    return out.withColumns({"failures_by_gate": F.to_json("failures_by_gate"), "accepted_by_cell": F.to_json("accepted_by_cell")})
 
 
 _ALL = (

@@ -189,22 +189,6 @@ def test_consistency_gate():
     assert gates.consistency_of("T2 and T4 must wait.", lag, base) is None and gates.consistency_of("T2 must wait. T4 too.", lag, base)
 
 
-def test_ordered_acceptance_equals_a_plain_walk(spark):
-    rnd = random.Random(4)
-    rows = [(k, f"h{rnd.randrange(25)}", f"c{rnd.randrange(3)}", 6, f"b{rnd.randrange(12)}", rnd.choice(["train", "train", "test"])) for k in range(40)]
-    links = sorted({tuple(sorted(rnd.sample(range(40), 2))) for _ in range(25)})
-    kept, counts, splits, hashes = set(), {}, {}, set()
-    for k, h, c, cap, b, s in rows:
-        near = any(e in kept for e, l in links if l == k)
-        if h not in hashes and not near and splits.get(b, s) == s and counts.get(c, 0) < cap:
-            kept.add(k)
-            hashes.add(h)
-            splits[b] = s
-            counts[c] = counts.get(c, 0) + 1
-    got = dedup.accept_in_order(spark.createDataFrame(rows, "seq long, hash string, cell string, cap int, base_id string, split string").repartition(3), spark.createDataFrame(links, "earlier long, later long")).collect()
-    assert {r.seq for r in got if r.accepted} == kept
-
-
 def test_solver():
     g = single()
     assert solve_project(g) | {"schedule": None} == {"status": "optimal", "objective": 4.0, "schedule": None, "best_bound": 4.0}
@@ -223,48 +207,11 @@ def test_provider_replies(spark):
     assert (told.context, told.disruption) == ("a b", "c d")
 
 
-def walk(rows, links):
-    """The instance loop in plain Python: attempts one after another, nothing counts but what is accepted."""
-    hashes, splits, counts, kept, gates_ = set(), {}, {}, set(), {}
-    for group in dict.fromkeys(r["group"] for r in rows):
-        for r in (x for x in rows if x["group"] == group):
-            if r["hash"] in hashes or any((e, r["seq"]) in links for e in kept) or splits.get(r["base_id"], r["split"]) != r["split"]:
-                gates_[r["seq"]] = 3
-                continue
-            gate = 4 if r["late"] == 4 else 5 if counts.get(r["cell"], 0) >= r["cap"] else r["late"]
-            gates_[r["seq"]] = gate
-            if gate is None:
-                hashes.add(r["hash"])
-                kept.add(r["seq"])
-                splits[r["base_id"]] = r["split"]
-                counts[r["cell"]] = counts.get(r["cell"], 0) + 1
-            break
-    return gates_
-
-
-def test_attempts_after_the_end_count_for_nothing(spark):
-    rnd = random.Random(4)
-    rows, links = [], set()
-    for k in range(90):
-        base, split = f"b{rnd.randrange(40)}", rnd.choice(["train", "train", "test"])
-        for attempt in range(3):
-            rows.append({"seq": 3 * k + attempt, "group": f"g{k}", "late": rnd.choice([None, None, None, 4, 6, 7]), "hash": f"h{rnd.randrange(120)}", "cell": rnd.choice("xyz"), "cap": 12, "base_id": base, "split": split})
-    for _ in range(60):
-        a, b = sorted(rnd.sample(range(270), 2))
-        links.add((a, b))
-    schema = "seq long, `group` string, late int, hash string, cell string, cap int, base_id string, split string"
-    table = spark.createDataFrame([tuple(r.values()) for r in rows], schema).repartition(3)
-    got = dedup.accept_in_order(table, spark.createDataFrame(sorted(links), "earlier long, later long")).collect()
-    want = walk(rows, links)
-    assert {r.seq: r.gate for r in got if r.gate != -2} == want and any(g == 5 for g in want.values())
-    assert all(r.accepted == (r.gate is None) for r in got) and len(got) == 270
-
-
 def test_batch(spark, read, tmp_path):
     ready = read[0].where("error is null").drop("error").unionByName(read[1].drop("error"))
     report = batch.run_batch(spark, ready, str(tmp_path / "out"), copies=2).first()
     records = spark.read.json(str(tmp_path / "out" / "records")) if report.accepted else None
-    made = batch.run_gates(spark, batch.candidates(ready, copies=2)).select("base.instance_id", "expansion", "attempt", "failed_gate").collect()
+    made = batch.run_gates(spark, ready, copies=2).select("base.instance_id", "expansion", "attempt", "failed_gate").collect()
     assert report.total == len(made) >= report.accepted >= 0
     for key in {(r.instance_id, r.expansion) for r in made}:
         own = sorted((r.attempt, r.failed_gate) for r in made if (r.instance_id, r.expansion) == key)
