@@ -1,13 +1,16 @@
-"""Algorithms on one project graph; projects are small, so these run inside a row, in Arrow batches, without a shuffle."""
+"""Graph algorithms on one project, in its row: projects are small, so nothing is shuffled.
 
-from __future__ import annotations
+Times of graphs are expressions over the nested columns (`critical_path`, `cycle_reason`); the scheduler's own loops use
+the plain functions above them.
+"""
 
-import json
-from collections import defaultdict, deque
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .metrics import duration
+
 
 def duration_of(activity: dict) -> int:
     if activity.get("duration") is not None:
@@ -15,23 +18,6 @@ def duration_of(activity: dict) -> int:
     return min(m["duration"] for m in activity["modes"])
 
 
-def longest_path(durations: dict[int, int], edges: list[tuple[int, int]]) -> int:
-    """Length of the longest chain; activities on a cycle, and what only they reach, keep what they have so far."""
-    waiting, after, finish = defaultdict(int), defaultdict(list), dict(durations)
-    for i, j in edges:
-        after[i].append(j)
-        waiting[j] += 1
-    ready = deque(k for k in durations if not waiting[k])
-    while ready:
-        i = ready.popleft()
-        for j in after[i]:
-            finish[j] = max(finish[j], finish[i] + durations[j])
-            waiting[j] -= 1
-            if not waiting[j]:
-                ready.append(j)
-    return max(finish.values(), default=0)
-
-
 #: (weight of i -> j, weight of j -> i) by relation, from the two durations and the lags
 WEIGHTS = {
     "FS": (lambda di, dj, lo: di + lo, lambda di, dj, hi: -(di + hi)),
@@ -69,54 +55,88 @@ def earliest_starts(nodes: list[int], edges: list[tuple[int, int, int]]) -> dict
     return None
 
 
-def acyclic(nodes: list[int], edges: list[tuple[int, int]]) -> bool:
-    known = set(nodes)
-    inner = [(i, j) for i, j in edges if i in known and j in known]
-    waiting, after = defaultdict(int), defaultdict(list)
-    for i, j in inner:
-        after[i].append(j)
-        waiting[j] += 1
-    ready, done = [k for k in known if not waiting[k]], 0
-    while ready:
-        done += 1
-        for j in after[ready.pop()]:
-            waiting[j] -= 1
-            if not waiting[j]:
-                ready.append(j)
-    return done == len(known)
+def let(value: Column, body) -> Column:
+    """body(value) with value evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _none(array: Column, like: str) -> Column:
+    return F.coalesce(array, F.array().cast(like))
+
+
+LINK = "array<struct<i:int,j:int,w:int>>"
+
+
+def links(activities: Column, precedences: Column) -> Column:
+    """Edges between known activities as places in the list (from 1)."""
+    ids = F.transform(activities, lambda a: a["id"])
+    at = lambda k: F.array_position(ids, k).cast("int")
+    known = F.filter(_none(precedences, "array<struct<i:int,j:int,relation:string,lag_min:int,lag_max:int>>"), lambda p: F.array_contains(ids, p["i"]) & F.array_contains(ids, p["j"]))
+    return F.transform(known, lambda p: F.struct(at(p["i"]).alias("i"), at(p["j"]).alias("j"), F.lit(0).alias("w")))
+
+
+def distances(activities: Column, precedences: Column) -> Column:
+    """Start-to-start distances (i, j as places from 1, w the least); a maximal lag is an edge backwards."""
+    ids = F.transform(activities, lambda a: a["id"])
+    days = F.transform(activities, duration)
+    at = lambda k: F.array_position(ids, k).cast("int")
+
+    def both(p):
+        i, j, lo, hi, kind = at(p["i"]), at(p["j"]), F.coalesce(p["lag_min"], F.lit(0)), p["lag_max"], p["relation"]
+        di, dj = F.element_at(days, i), F.element_at(days, j)
+        there, back = (F.coalesce(*(F.when(kind == name, rule[side](di, dj, lag)) for name, rule in WEIGHTS.items())) for side, lag in ((0, lo), (1, hi)))
+        return F.array(F.struct(i.alias("i"), j.alias("j"), there.alias("w")), F.struct(j.alias("i"), i.alias("j"), back.alias("w")))
+
+    known = F.filter(_none(precedences, "array<struct<i:int,j:int,relation:string,lag_min:int,lag_max:int>>"), lambda p: F.array_contains(ids, p["i"]) & F.array_contains(ids, p["j"]))
+    return F.filter(F.flatten(F.transform(known, both)), lambda e: e["w"].isNotNull())  # no maximal lag, no way back
+
+
+def layers(days: Column, edges: Column) -> Column:
+    """struct<finish, waiting>: activities leave in layers, each when all before it have left; finish is the end of the
+    longest chain, read finish to start without lags. What lies on a cycle, or after one, keeps what it has so far."""
+    n = F.size(days)
+    places = F.sequence(F.lit(1), n)
+    into = lambda some, k: F.filter(some, lambda e: e["j"] == k)
+    waiting = F.transform(places, lambda k: F.size(into(edges, k)))
+    first = F.struct(days.alias("finish"), waiting.alias("waiting"), F.filter(places, lambda k: ~F.exists(edges, lambda e: e["j"] == k)).alias("ready"))
 
+    def step(s, _):
+        touched = F.filter(edges, lambda e: F.array_contains(s["ready"], e["i"]))
 
-def needs_distances(graph: dict) -> bool:
-    return any(p.get("lag_max") is not None or p["relation"] in ("FF", "SF") for p in graph.get("precedences") or [])
+        def moved(t):
+            chain = lambda k: F.array_max(F.transform(into(t, k), lambda e: F.element_at(s["finish"], e["i"]))) + F.element_at(days, k)
+            finish = F.transform(places, lambda k: F.greatest(F.element_at(s["finish"], k), chain(k)))
+            left = F.transform(places, lambda k: F.element_at(s["waiting"], k) - F.size(into(t, k)))
+            return let(left, lambda w: F.struct(finish.alias("finish"), w.alias("waiting"), F.filter(places, lambda k: (F.element_at(w, k) == 0) & (F.element_at(s["waiting"], k) > 0)).alias("ready")))
 
+        return F.when(F.size(s["ready"]) == 0, s).otherwise(let(touched, moved))
 
-def cycle_reason(graph: dict) -> str | None:
-    nodes = [a["id"] for a in graph["activities"]]
-    if needs_distances(graph):
-        return None if earliest_starts(nodes, distance_edges(graph)) is not None else "temporal constraints form a positive cycle"
-    return None if acyclic(nodes, [(p["i"], p["j"]) for p in graph.get("precedences") or []]) else "precedences form a cycle"
+    return F.aggregate(places, first, step)
 
 
-def critical_path(graph: Column) -> Column:
-    """Column: longest chain of least durations, each edge read as finish to start without lag."""
+def critical_path(activities: Column, precedences: Column) -> Column:
+    """Longest chain of least durations; null without activities."""
+    path = let(links(activities, precedences), lambda e: let(F.transform(activities, duration), lambda d: F.array_max(layers(d, e)["finish"])))
+    return F.when(F.size(activities) > 0, path)
 
-    @F.udf("int", useArrow=True)
-    def run(text: str) -> int:
-        g = json.loads(text)
-        if not g.get("activities"):
-            return None
-        d = {a["id"]: duration_of(a) for a in g["activities"]}
-        return longest_path(d, [(p["i"], p["j"]) for p in g.get("precedences") or []])
 
-    # not to be pulled into lambdas, where Python cannot run
-    return run.asNondeterministic()(F.to_json(graph))
+def positive_cycle(activities: Column, edges: Column) -> Column:
+    """Some cycle has a positive length: the latest of all walks still grows after as many rounds as there are activities."""
+    places = F.sequence(F.lit(1), F.size(activities))
+    first = F.struct(F.transform(places, lambda k: F.lit(0)).alias("start"), F.lit(True).alias("moved"))
 
+    def step(s, _):
+        later = lambda k: F.array_max(F.transform(F.filter(edges, lambda e: e["j"] == k), lambda e: F.element_at(s["start"], e["i"]) + e["w"]))
+        start = F.transform(places, lambda k: F.greatest(F.element_at(s["start"], k), later(k)))
+        return F.when(~s["moved"], s).otherwise(let(start, lambda t: F.struct(t.alias("start"), (t != s["start"]).alias("moved"))))
 
-def cycle_flag(graph: Column) -> Column:
-    """Column: why the graph cannot be scheduled in time, null if it can."""
+    return F.aggregate(F.sequence(F.lit(0), F.size(activities)), first, step, lambda s: s["moved"])
 
-    @F.udf("string", useArrow=True)
-    def run(text: str):
-        return cycle_reason(json.loads(text))
 
-    return run(F.to_json(graph))
+def cycle_reason(activities: Column, precedences: Column) -> Column:
+    """Why the graph cannot be scheduled in time, null if it can."""
+    lagged = F.exists(precedences, lambda p: p["lag_max"].isNotNull() | p["relation"].isin("FF", "SF"))
+    positive = let(distances(activities, precedences), lambda e: positive_cycle(activities, e))
+    stuck = let(links(activities, precedences), lambda e: F.exists(layers(F.transform(activities, lambda a: F.lit(0)), e)["waiting"], lambda w: w > 0))
+    found = F.when(F.coalesce(lagged, F.lit(False)), F.when(positive, "temporal constraints form a positive cycle")).otherwise(F.when(stuck, "precedences form a cycle"))
+    return F.when(F.size(activities) > 0, found)

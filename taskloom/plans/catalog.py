@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import codegen, fixed, gates, metrics, minhash, text
-from ..functions.graphs import cycle_flag
+from ..functions.graphs import cycle_reason
 from ..operators import dedup
 from ..operators.ordered import accept_in_order
 from ..operators.mutations import resolve_severity
@@ -69,7 +69,7 @@ def distance_edges(spark, sf_dir):
 
 
 def cycle_flags(spark, sf_dir):
-    return projects_of_orders(spark, sf_dir).select("project", cycle_flag(F.struct("activities", "precedences")).isNotNull().alias("infeasible"))
+    return projects_of_orders(spark, sf_dir).select("project", cycle_reason(F.col("activities"), F.col("precedences")).isNotNull().alias("infeasible"))
 
 
 def structure_text(spark, sf_dir):

@@ -99,9 +99,9 @@ def with_metrics(projects: DataFrame) -> DataFrame:
     """Adds RF, RS, structural hash, critical path, difficulty, objective and the empty mutation log."""
     a, r, p = F.col("activities"), F.col("resources"), F.col("precedences")
     out = projects.withColumns({"RF": metrics.resource_factor(a, r), "RS": metrics.resource_strength(a, r), "structural_hash": metrics.structural_hash(p)})
-    path = critical_path(F.struct("activities", "precedences"))
+    path = critical_path(a, p)
     return out.withColumns({
-        "critical_path_length": F.when(a.isNotNull(), path), "difficulty": F.when(a.isNotNull(), metrics.difficulty(F.col("RF"), F.col("RS"))), "question_type": F.lit(None).cast("string"),
+        "critical_path_length": path, "difficulty": F.when(a.isNotNull(), metrics.difficulty(F.col("RF"), F.col("RS"))), "question_type": F.lit(None).cast("string"),
         "split": F.lit("train"), "objective": F.from_json(F.lit('{"type": "minimize_makespan"}'), OBJECTIVE), "mutations_applied": F.array().cast(f"array<{SPEC}>"),
     })
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from taskloom.functions import fixed, gates, graphs, metrics, minhash, text
 from taskloom.operators import dedup
-from taskloom.operators.mutations import Refused, mutate
 from taskloom.operators.solver import solve_project
-from taskloom.operators.validation import after_reason, form_reason, least_budget, spec_reason
 from taskloom.plans import batch
 from taskloom.sources import projects, providers
+from tests import plain
+from tests.plain import Refused, after_reason, form_reason, least_budget, mutate, spec_reason
 
 RULE = "*" * 72
 SM = f"""jobs (incl. supersource/sink ):  6
@@ -129,7 +129,7 @@ def test_mutations_leave_the_input_and_tighten():
 def test_cycles_and_validation():
     g = single()
     feasible = mutate(g, [{"op": "enforce_time_lag", "i": 2, "j": 4, "relation": "FS", "lag_min": 3, "lag_max": 5}])
-    assert graphs.cycle_reason(feasible) is None
+    assert plain.cycle_reason(feasible) is None
     both = [{"op": "enforce_time_lag", "i": 2, "j": 4, "relation": "FS", "lag_min": 3}, {"op": "enforce_time_lag", "i": 2, "j": 4, "relation": "SS", "lag_min": 0, "lag_max": 5}]
     assert "positive cycle" in spec_reason(both, g)
     assert "lag_max is not allowed" in spec_reason([both[1]], {**g, "type": "TYPE-A"})
@@ -141,7 +141,7 @@ def test_cycles_and_validation():
     for _ in range(100):
         edges = [(rnd.randrange(5), rnd.randrange(5)) for _ in range(rnd.randrange(7))]
         weighted = [(i, j, 1) for i, j in edges]
-        assert graphs.acyclic(list(range(5)), edges) == (graphs.earliest_starts(list(range(5)), weighted) is not None)
+        assert plain.acyclic(list(range(5)), edges) == (graphs.earliest_starts(list(range(5)), weighted) is not None)
 
 
 def test_hash_goldens(spark):
