@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import codegen, fixed, gates, metrics, minhash, text
 from ..functions.graphs import cycle_reason
-from ..operators import dedup
+from ..operators import dedup, graph_sets
 from ..operators.ordered import accept_in_order
 from ..operators.mutations import resolve_severity
 from ..operators.solver import solution
 from ..operators.validation import validated_mutation
-from ..schema import SPEC
-from ..sources.projects import activities_of_orders, projects_of_orders
+from ..schema import ACTIVITY, EDGE, SPEC, WINDOW
+from ..sources.projects import activities_of_orders, projects_of_orders, projects_of_parts
 from ..sources.providers import call_cost
 from ..sources.staging import staged
 from . import batch
@@ -244,7 +244,99 @@ def batch_report(spark, sf_dir):
     return out.withColumns({"failures_by_gate": F.to_json("failures_by_gate"), "accepted_by_cell": F.to_json("accepted_by_cell")})
 
 
+def gate0_rules(spark, sf_dir):
+    """Documents dressed as problem texts, each in one of eleven ways, most with a part missing."""
+    v = F.col("doc_id") % 11
+    unless = lambda k, c, other="": F.when(v != k, c).otherwise(other)
+    tasks = F.when(v == 6, "T1").when(v == 7, "T1-M1, T2-M1").otherwise("T1, T2")
+    stops = F.repeat(F.lit("stop "), F.when(v == 9, F.col("doc_id") % 10).otherwise(12).cast("int"))
+    gap = F.lit("\n\n")
+    body = F.concat(unless(1, "CONTEXT: "), F.coalesce("text", F.lit("")), gap, unless(2, "RESOURCES: "), unless(4, "R1(cap=4)"), gap, unless(5, "TASKS: "), tasks, gap, F.when(v == 8, "").otherwise("DISRUPTION: "), stops)
+    return documents(spark, sf_dir).select("doc_id", gates.text_reason(body, F.when(v == 3, "TYPE-B").otherwise("TYPE-A")).alias("reason"))
+
+
+def gate6_evidence(spark, sf_dir):
+    """Documents that tell, or do not tell, of what is planted in their model, in eight ways."""
+    v = F.col("doc_id") % 8
+    near = F.concat(F.lit("R1 "), F.repeat(F.lit("w "), (F.col("doc_id") % 14).cast("int")), F.lit("offline."))
+    told = F.coalesce(*(F.when(v.isin(*k), t) for k, t in (
+        ((0, 1), near), ((2,), F.lit("Between T1 and T2 a waiting period holds.")), ((3,), F.lit("T1 comes first. A waiting period holds for T2.")), ((4,), F.lit("Now R2 is offline.")),
+        ((5,), F.lit("Every day late has its penalty.")), ((6,), F.lit("The plan has another aim.")),
+    )))
+    p = F.concat(F.coalesce("text", F.lit("")), F.coalesce(F.concat(F.lit("\n\nDISRUPTION: "), told), F.lit("")))
+    window = F.when(v < 2, F.array(F.struct(F.lit(1).alias("start"), F.lit(2).alias("end"), F.lit(1).alias("delta")))).otherwise(F.array().cast(f"array<{WINDOW}>"))
+    resource = lambda name, w: F.struct(F.lit(name).alias("id"), F.lit(4).alias("capacity"), F.lit(None).cast("string").alias("type"), w.alias("downtime"))
+    edge = F.when(v.isin(2, 3), F.array(F.struct(F.lit(1).alias("i"), F.lit(2).alias("j"), F.lit("FS").alias("relation"), F.lit(3).alias("lag_min"), F.lit(None).cast("int").alias("lag_max")))).otherwise(F.array().cast(f"array<{EDGE}>"))
+    aim = F.when(v.isin(5, 6), "minimize_weighted_tardiness").otherwise("minimize_makespan")
+    acts = F.array().cast(f"array<{ACTIVITY}>")
+    model = F.struct(acts.alias("activities"), F.array(resource("R1", window), resource("R2", F.array().cast(f"array<{WINDOW}>"))).alias("resources"), edge.alias("precedences"), F.struct(aim.alias("type")).alias("objective"))
+    base = F.struct(acts.alias("activities"), F.array().cast(f"array<{EDGE}>").alias("precedences"))
+    return documents(spark, sf_dir).select("doc_id", gates.consistency_reason(p, model, base).alias("reason"))
+
+
+def _one_spec(**fields):
+    """An array of one spec with these columns, the others null."""
+    made = F.struct(*(v.alias(k) for k, v in fields.items()))
+    return F.from_json(F.to_json(F.array(made)), f"array<{SPEC}>")
+
+
+def _mutated(g, ops, measures):
+    """Projects with one mutation each, by project % 5: why it is refused, or a number that it changes."""
+    v = F.col("project") % len(ops)
+    specs = F.coalesce(*(F.when(v == k, _one_spec(op=F.lit(op), **fields)) for k, (op, fields) in enumerate(ops)))
+    done = g.select("project", F.get(F.array(*(F.lit(op) for op, _ in ops)), v.cast("int")).alias("op"), validated_mutation(F.struct(*batch.GRAPH_COLUMNS), specs).alias("made"))
+    done = staged(done, "mutated")
+    measure = F.coalesce(*(F.when(v == k, m(F.col("made.graph"))) for k, m in enumerate(measures)))
+    return done.select("project", "op", "made.reason", F.when(F.col("made.reason").isNull(), measure).cast("long").alias("measure"))
+
+
+def mutations_single(spark, sf_dir):
+    k, lit = F.col("project"), F.lit
+    ops = (
+        ("reduce_capacity", {"resource": lit("R1"), "delta": k % 6, "t_start": lit(2), "t_end": 2 + k % 7}), ("freeze_resource", {"resource": lit("R2"), "delta": lit(3), "t_start": lit(0), "t_end": k % 150 + 1}),
+        ("enforce_time_lag", {"i": lit(1), "j": lit(3), "relation": lit("FS"), "lag_min": k % 9}), ("add_precedence", {"i": lit(1), "j": lit(2)}), ("alter_objective", {"obj_type": lit("minimize_resource_cost")}),
+    )
+    shut = lambda g: F.aggregate(F.flatten(F.transform(g["resources"], lambda r: r["downtime"])), lit(0), lambda n, w: n + w["delta"] * (w["end"] - w["start"]))
+    lags = lambda g: F.aggregate(g["precedences"], lit(0), lambda n, p: n + p["lag_min"])
+    return _mutated(projects_of_orders(spark, sf_dir), ops, (shut, shut, lags, lambda g: F.size(g["precedences"]), lambda g: (g["objective"]["type"] == "minimize_resource_cost").cast("int")))
+
+
+def mutations_multi(spark, sf_dir):
+    k, lit = F.col("project"), F.lit
+    first = F.element_at("activities", 1)["id"]
+    ops = (
+        ("alter_mode_profile", {"activity_id": first, "mode_id": lit(1), "duration_delta": k % 7 - 3}), ("restrict_modes", {"activity_id": first, "remove_mode_ids": F.array(lit(1))}),
+        ("add_mode", {"activity_id": first, "duration": k % 4, "renewable_demands": F.create_map(lit("R1"), lit(1))}), ("reduce_nonrenewable_budget", {"resource": lit("NR1"), "delta": k % 33}),
+        ("alter_objective", {"obj_type": F.when(k % 2 == 1, "minimize_weighted_tardiness").otherwise("maximize_robustness_margin")}),
+    )
+    modes = lambda g: F.aggregate(g["activities"], lit(0), lambda n, a: n + F.size(a["modes"]))
+    changed = lambda g: F.element_at(F.element_at(g["activities"], 1)["modes"], 1)["duration"]
+    budget = lambda g: F.element_at(g["resources"], 2)["capacity"]
+    return _mutated(projects_of_parts(spark, sf_dir), ops, (changed, modes, modes, budget, lambda g: (g["objective"]["type"] == "maximize_robustness_margin").cast("int")))
+
+
+def ring_cycles(spark, sf_dir):
+    """Rings of the lines of every order of three or more, by all four relations, closed by a negative lag."""
+    acts = activities_of_orders(spark, sf_dir)
+    size = acts.groupBy("project").agg(F.count("*").alias("size"))
+    rows = staged(acts.join(size, "project"), "ring")
+    relation = F.get(F.array(*(F.lit(r) for r in fixed.RELATIONS)), F.col("id") % 4)
+    lag = F.when(F.col("id") == F.col("size"), -(F.col("project") % 7) * 20).otherwise(F.col("lag"))
+    edges = rows.where("size >= 3").select("project", F.col("id").alias("i"), (F.col("id") % F.col("size") + 1).alias("j"), relation.alias("relation"), lag.alias("lag_min"), F.lit(None).cast("int").alias("lag_max"))
+    days = rows.select("project", "id", "duration")
+    return graph_sets.positive_cycles(days, graph_sets.distance_table(edges, days, "project"), "project")
+
+
+def branching_paths(spark, sf_dir):
+    """Critical paths of the lines of every order, joined by steps of one, two and five."""
+    acts = staged(activities_of_orders(spark, sf_dir).select("project", "id", "duration"), "acts")
+    steps = F.array_compact(F.array(F.lit(2), F.when(F.col("id") % 3 != 0, 1), F.when(F.col("id") == 1, 5)))
+    edges = acts.select("project", F.col("id").alias("i"), F.explode(F.transform(steps, lambda s: F.col("id") + s)).alias("j"))
+    return graph_sets.critical_paths(acts, edges, "project")
+
+
 _ALL = (
+    gate0_rules, gate6_evidence, mutations_single, mutations_multi, ring_cycles, branching_paths,
     gate0_prefilter, gate0_report, project_metrics, structural_hash, difficulty_hist, critical_path, horizon, distance_edges, cycle_flags, structure_text, graph_summary, generated_program, code_syntax,
     gate1_structural, severity_numbers, mutation_apply, shingle_counts, minhash_signature, minhash_bands, lsh_pairs, greedy_dedup, exact_keys, quota_hold, split_leaks, stratified_split, split_counts,
     expansion, mode_requests, gap_loss_weight, solver_bounds, first_failure, resource_join, batch_stats, call_costs, quota_caps, batch_report,

@@ -23,10 +23,20 @@ d AS (SELECT *, CASE WHEN rf <= 0.4 AND rs >= 0.6 THEN 'easy' WHEN rf >= 0.65 AN
 paths AS (SELECT project, max(total) AS cp FROM (SELECT project, id % 2 AS chain, sum(duration) AS total FROM acts GROUP BY ALL) GROUP BY 1)"""
 _WORDS = r"words AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '') AS w FROM documents)"
 _GATE0 = (
-    """CASE WHEN len(w) = 0 THEN 'p text is empty' WHEN len(w) < 50 THEN 'p text too short (' || len(w) || ' words, min 50)' WHEN len(w) > 1500 THEN 'p text too long (' || len(w) || ' words, max 1500)'
-    WHEN NOT contains(lower(text), 'context:') THEN 'p text missing required section: context:' WHEN NOT contains(lower(text), 'resources:') THEN 'p text missing required section: resources:'
-    WHEN NOT contains(lower(text), 'tasks:') THEN 'p text missing required section: tasks:' WHEN NOT contains(lower(text), 'disruption:') THEN 'p text missing required section: disruption:' END"""
+    r"""CASE WHEN len(w) = 0 THEN 'no words' WHEN len(w) < 50 THEN len(w) || ' words, at least 50 are needed' WHEN len(w) > 1500 THEN len(w) || ' words, at most 1500 are allowed'
+    WHEN NOT contains(lower(text), 'context:') THEN 'no section context:' WHEN NOT contains(lower(text), 'resources:') THEN 'no section resources:'
+    WHEN NOT contains(lower(text), 'tasks:') THEN 'no section tasks:' WHEN NOT contains(lower(text), 'disruption:') THEN 'no section disruption:'
+    WHEN len(regexp_extract_all(text, '\b[tT]\d+\b')) < 2 THEN 'names ' || len(regexp_extract_all(text, '\b[tT]\d+\b')) || ' tasks, at least 2 are needed'
+    WHEN NOT regexp_matches(text, '(?i)\b(?:R\d+|M\d+|NR\d+)\b|(?:Team-\w+|NR-\w+)') THEN 'names no resource'
+    WHEN part_words < 10 THEN part_words || ' words on the disruption, at least 10 are needed' WHEN kind = 'TYPE-B' AND NOT contains(text, '-M') THEN 'names no mode of a task' END"""
 )
+_GATE0_PARTS = r"len(list_filter(regexp_split_to_array(lower(regexp_extract(text, '(?is)disruption:(.*?)(?:\n\n|\z)', 1)), '\s+'), lambda w: w <> '')) AS part_words"
+_DRESSED = r"""dressed AS (SELECT doc_id, CASE WHEN doc_id % 11 = 3 THEN 'TYPE-B' ELSE 'TYPE-A' END AS kind,
+  CASE WHEN doc_id % 11 <> 1 THEN 'CONTEXT: ' ELSE '' END || coalesce(text, '') || chr(10) || chr(10) || CASE WHEN doc_id % 11 <> 2 THEN 'RESOURCES: ' ELSE '' END || CASE WHEN doc_id % 11 <> 4 THEN 'R1(cap=4)' ELSE '' END || chr(10) || chr(10)
+  || CASE WHEN doc_id % 11 <> 5 THEN 'TASKS: ' ELSE '' END || CASE doc_id % 11 WHEN 6 THEN 'T1' WHEN 7 THEN 'T1-M1, T2-M1' ELSE 'T1, T2' END || chr(10) || chr(10)
+  || CASE WHEN doc_id % 11 = 8 THEN '' ELSE 'DISRUPTION: ' END || repeat('stop ', CAST(CASE WHEN doc_id % 11 = 9 THEN doc_id % 10 ELSE 12 END AS INTEGER)) AS text FROM documents),
+words AS (SELECT *, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '') AS w, """ + _GATE0_PARTS + " FROM dressed)"
+_WORDS_G0 = _WORDS.replace("SELECT doc_id, text,", "SELECT doc_id, text, 'TYPE-A' AS kind, " + _GATE0_PARTS + ",")
 _SHINGLES = f"""{_WORDS}, grams AS (SELECT doc_id, md5(array_to_string(w[k:k + 2], ' ')) AS h FROM words, unnest(range(1, greatest(2, len(w) - 1))) AS t(k)),
 shingles AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2)) AS BIGINT) AS s FROM grams)"""
 _A, _B = minhash.coefficients()
@@ -51,9 +61,44 @@ def _kinds() -> str:
     return _quoted(",".join(f'{{"id":"{k}","capacity":{v},"downtime":[]}}' for k, v in CAPACITIES.items()))
 
 
+_PARTS = """m AS (SELECT l_partkey AS project, CAST(l_linenumber AS INTEGER) AS id, CAST(row_number() OVER (PARTITION BY l_partkey, l_linenumber ORDER BY l_orderkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS INTEGER) AS mode_id,
+    CAST(floor(l_quantity) AS INTEGER) AS duration, CAST(l_suppkey % 3 AS INTEGER) AS r1, CAST(l_orderkey % 4 AS INTEGER) AS nr1 FROM lineitem),
+  a AS (SELECT project, id, count(*) AS n, min(nr1) AS least, min(nr1) FILTER (mode_id > 1) AS rest, min(duration) FILTER (mode_id = 1) AS d1 FROM m GROUP BY 1, 2),
+  p AS (SELECT project, min(id) AS first, sum(least) AS budget, sum(n) AS n_modes FROM a GROUP BY 1),
+  f AS (SELECT p.*, a.n, a.d1, p.budget - a.least + coalesce(a.rest, 0) AS without FROM p JOIN a ON a.project = p.project AND a.id = p.first)"""
+_RING = """n AS (SELECT l_orderkey AS project, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS id, CAST(floor(l_quantity) AS INTEGER) AS d,
+    l_partkey % 5 AS lag, count(*) OVER (PARTITION BY l_orderkey) AS size FROM lineitem),
+  e AS (SELECT a.project, a.id AS i, b.id AS j, ['FS', 'SS', 'FF', 'SF'][a.id % 4 + 1] AS relation, CASE WHEN a.id = a.size THEN -(a.project % 7) * 20 ELSE a.lag END AS lo, a.d AS di, b.d AS dj
+        FROM n a JOIN n b ON a.project = b.project AND b.id = a.id % a.size + 1 WHERE a.size >= 3),
+  w AS (SELECT project, i, j, CASE relation WHEN 'FS' THEN di + lo WHEN 'SS' THEN lo WHEN 'FF' THEN di - dj + lo ELSE lo - dj END AS weight FROM e)"""
+
 ORACLE_SQL = {
-    "gate0_prefilter": f"WITH {_WORDS} SELECT doc_id, {_GATE0} AS reason FROM words",
-    "gate0_report": f"WITH {_WORDS} SELECT regexp_replace(coalesce({_GATE0}, 'pass'), '\\d+ words, ', '', 'g') AS reason, count(*) AS n FROM words GROUP BY 1",
+    "gate0_rules": f"WITH {_DRESSED} SELECT doc_id, {_GATE0} AS reason FROM words",
+    "mutations_multi": f"""WITH {_PARTS}, r AS (SELECT *, CASE project % 5 WHEN 0 THEN CASE WHEN d1 + project % 7 - 3 <= 0 THEN '#0: duration must stay positive' END
+          WHEN 1 THEN CASE WHEN n = 1 THEN '#0: no mode would be left' WHEN without > 30 THEN '#0: budget NR1 cannot cover the modes that are left' END
+          WHEN 2 THEN CASE WHEN project % 4 = 0 THEN 'mutation failed: a mode needs a positive duration and no negative demands' END
+          WHEN 3 THEN CASE WHEN project % 33 NOT BETWEEN 1 AND 29 THEN '#0: the cut must be positive and smaller than the budget' WHEN budget > 30 - project % 33 THEN '#0: the rest of the budget cannot cover the least demand' END
+          ELSE CASE WHEN project % 2 = 1 THEN 'mutation failed: weighted tardiness needs weights and deadlines' END END AS reason FROM f)
+        SELECT project, ['alter_mode_profile', 'restrict_modes', 'add_mode', 'reduce_nonrenewable_budget', 'alter_objective'][project % 5 + 1] AS op, reason,
+          CAST(CASE WHEN reason IS NULL THEN CASE project % 5 WHEN 0 THEN d1 + project % 7 - 3 WHEN 1 THEN n_modes - 1 WHEN 2 THEN n_modes + 1 WHEN 3 THEN 30 - project % 33 ELSE 1 END END AS BIGINT) AS measure FROM r""",
+    "mutations_single": f"""WITH {_ACTS}, e AS (SELECT project, count(*) AS n_edges, sum(lag_min) AS lags, bool_or(coalesce(lag_max < lag_min, false)) AS cycle, max(CASE WHEN i = 1 THEN lag_min END) AS first_lag FROM edges GROUP BY 1),
+        d AS (SELECT project, sum(duration) AS days, bool_or(resource = 'R2' AND demand > 0) AS r2 FROM acts GROUP BY 1),
+        r AS (SELECT s.project, s.n, coalesce(n_edges, 0) AS n_edges, coalesce(lags, 0) AS lags, coalesce(cycle, false) AS cycle, first_lag, days, r2 FROM sizes s JOIN d USING (project) LEFT JOIN e USING (project)),
+        why AS (SELECT *, CASE WHEN project % 5 = 0 AND project % 6 = 0 THEN '#0: delta must be > 0' WHEN project % 5 = 0 AND project % 6 >= 4 THEN '#0: delta >= capacity; freeze_resource is for a full shutdown' WHEN project % 5 = 0 AND project % 7 = 0 THEN '#0: t_start >= t_end'
+          WHEN project % 5 = 2 AND n < 3 THEN '#0: unknown activity 3' WHEN project % 5 = 3 AND n < 2 THEN '#0: unknown activity 2' WHEN cycle THEN 'temporal constraints form a positive cycle'
+          WHEN project % 5 = 1 AND r2 AND project % 150 + 1 >= days + lags THEN 'R2 is shut for the whole horizon' END AS reason FROM r)
+        SELECT project, ['reduce_capacity', 'freeze_resource', 'enforce_time_lag', 'add_precedence', 'alter_objective'][project % 5 + 1] AS op, reason,
+          CAST(CASE WHEN reason IS NULL THEN CASE project % 5 WHEN 0 THEN (project % 6) * (project % 7) WHEN 1 THEN 3 * (project % 150 + 1) WHEN 2 THEN lags - first_lag + greatest(first_lag, project % 9) WHEN 3 THEN n_edges + 1 ELSE 1 END END AS BIGINT) AS measure FROM why""",
+    "ring_cycles": f"""WITH RECURSIVE {_RING}, walks(project, origin, node, length, steps) AS (SELECT project, i, j, weight, 1 FROM w UNION SELECT k.project, k.origin, w.j, k.length + w.weight, k.steps + 1 FROM walks k JOIN w ON w.project = k.project AND w.i = k.node WHERE k.steps < 30)
+        SELECT DISTINCT n.project, coalesce(b.bad, false) AS infeasible FROM n LEFT JOIN (SELECT project, bool_or(node = origin AND length > 0) AS bad FROM walks GROUP BY 1) b USING (project)""",
+    "branching_paths": f"""WITH RECURSIVE {_ACTS}, b AS (SELECT a.project, a.id AS i, c.id AS j, c.duration AS d FROM acts a JOIN acts c ON a.project = c.project AND (c.id = a.id + 2 OR (a.id % 3 <> 0 AND c.id = a.id + 1) OR (a.id = 1 AND c.id = a.id + 5))),
+        paths(project, node, length) AS (SELECT project, id, duration FROM acts UNION SELECT p.project, b.j, p.length + b.d FROM paths p JOIN b ON b.project = p.project AND b.i = p.node)
+        SELECT project, CAST(max(length) AS BIGINT) AS length FROM paths GROUP BY 1""",
+    "gate6_evidence": r"""WITH t AS (SELECT doc_id, doc_id % 8 AS v, 'r1 ' || repeat('w ', CAST(doc_id % 14 AS INTEGER)) || 'offline' AS near FROM documents)
+        SELECT doc_id, CASE v WHEN 0 THEN CASE WHEN NOT regexp_matches(near, 'r1\s+(?:\S+\s+){0,10}offline') THEN 'the text does not tell of downtime R1' END WHEN 1 THEN CASE WHEN NOT regexp_matches(near, 'r1\s+(?:\S+\s+){0,10}offline') THEN 'the text does not tell of downtime R1' END
+          WHEN 3 THEN 'the text does not tell of time_lag 1 2 FS' WHEN 4 THEN 'the text stops r2, the model does not' WHEN 6 THEN 'the text does not tell of objective_change minimize_weighted_tardiness' WHEN 7 THEN 'the text has no section on the disruption' END AS reason FROM t""",
+    "gate0_prefilter": f"WITH {_WORDS_G0} SELECT doc_id, {_GATE0} AS reason FROM words",
+    "gate0_report": f"WITH {_WORDS_G0} SELECT regexp_replace(coalesce({_GATE0}, 'pass'), '\\d+ words, ', '', 'g') AS reason, count(*) AS n FROM words GROUP BY 1",
     "project_metrics": f"WITH {_METRICS} SELECT project, round(rf, 9) AS rf, round(rs, 9) AS rs, round(density, 9) AS density, difficulty FROM d",
     "structural_hash": f"WITH {_ACTS}, e AS (SELECT project, string_agg('[' || i || ', ' || j || ']', ', ' ORDER BY i, j) AS t FROM edges GROUP BY 1) SELECT s.project, substr(sha256('[' || coalesce(t, '') || ']'), 1, 16) AS structural_hash FROM sizes s LEFT JOIN e USING (project)",
     "difficulty_hist": f"WITH {_METRICS} SELECT difficulty, count(*) AS n FROM d GROUP BY 1",

@@ -141,3 +141,22 @@ def projects_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(F.filter("rows", lambda a: a["id"] <= F.size("rows") - 2), edge).alias("precedences"), "project",
     )
     return with_metrics(out)
+
+
+def projects_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-mode graphs of all parts: the order lines of a part with one line number are the modes of an activity, which
+    come one after another; NR1 is a budget."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    order = ["l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    rows = lines.groupBy("l_partkey", F.col("l_linenumber").cast("int").alias("id")).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("rows"))
+    mode = lambda r, k: F.struct((k + 1).alias("mode_id"), F.floor(r["l_quantity"]).cast("int").alias("duration"), F.create_map(F.lit("R1"), (r["l_suppkey"] % 3).cast("int")).alias("renewable_demands"), F.create_map(F.lit("NR1"), (r["l_orderkey"] % 4).cast("int")).alias("nonrenewable_demands"))
+    acts = rows.select(F.col("l_partkey").alias("project"), F.struct("id", F.lit(None).cast("int").alias("duration"), F.lit(None).cast("map<string,int>").alias("demands"), F.transform("rows", mode).alias("modes")).alias("a"))
+    found = acts.groupBy("project").agg(F.array_sort(F.collect_list("a"), lambda x, y: x["id"] - y["id"]).alias("activities"))
+    edge = lambda i, j: F.struct(i["id"].alias("i"), j["id"].alias("j"), F.lit("FS").alias("relation"), F.lit(0).alias("lag_min"), F.lit(None).cast("int").alias("lag_max"))
+    n = F.size("activities")
+    edges = F.when(n > 1, F.zip_with(F.slice("activities", 1, n - 1), F.slice("activities", 2, n - 1), edge)).otherwise(F.array().cast(f"array<{EDGE}>"))
+    resource = lambda name, amount, kind: F.struct(F.lit(name).alias("id"), F.lit(amount).alias("capacity"), F.lit(kind).alias("type"), F.when(F.lit(kind == "renewable"), F.array().cast("array<struct<start:int,end:int,delta:int>>")).alias("downtime"))
+    return with_metrics(found.select(
+        F.concat(F.lit("p"), F.col("project").cast("string")).alias("instance_id"), F.lit("parts").alias("source"), F.lit("TYPE-B").alias("type"), "activities",
+        F.array(resource("R1", 4, "renewable"), resource("NR1", 30, "nonrenewable")).alias("resources"), edges.alias("precedences"), "project",
+    ))

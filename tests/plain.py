@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+import re
 from collections import defaultdict, deque
 
 from taskloom.functions import fixed
@@ -242,3 +243,64 @@ def after_reason(graph: dict) -> str | None:
         if used and shut and shut >= span:
             return f"{r['id']} is shut for the whole horizon"
     return None
+
+
+def _near(a: str, b: str) -> str:
+    """Either order, with at most a few words between; the first term must be followed by white space."""
+    gap = rf"\s+(?:\S+\s+){{0,{fixed.PROXIMITY_WORDS}}}\s*"
+    a, b = re.escape(a), re.escape(b)
+    return f"(?:{a}{gap}{b}|{b}{gap}{a})"
+
+
+def model_signals(model: dict, base: dict) -> list[dict]:
+    """What the model has that the text must speak of."""
+    out = [{"kind": "downtime", "resource": r["id"]} for r in model.get("resources") or [] for _ in r.get("downtime") or []]
+    before = {(p["i"], p["j"], p["relation"]): p for p in base.get("precedences") or []}
+    for p in model.get("precedences") or []:
+        old = before.get((p["i"], p["j"], p["relation"]))
+        if old is None or p["lag_min"] > old["lag_min"] or (p.get("lag_max") is not None and old.get("lag_max") is None):
+            out.append({"kind": "time_lag", "i": p["i"], "j": p["j"], "relation": p["relation"]})
+    aim = (model.get("objective") or {}).get("type", "minimize_makespan")
+    if aim != "minimize_makespan":
+        out.append({"kind": "objective_change", "aim": aim})
+    n_modes = {a["id"]: len(a.get("modes") or []) for a in base.get("activities") or []}
+    out += [{"kind": "mode_restriction", "activity": a["id"]} for a in model.get("activities") or [] if len(a.get("modes") or []) < n_modes.get(a["id"], 0)]
+    return out
+
+
+def has_evidence(signal: dict, text: str, sentences: list[str]) -> bool:
+    kind = signal["kind"]
+    if kind == "downtime":
+        return any(re.search(_near(signal["resource"].lower(), phrase), text, re.I) for phrase in fixed.DOWNTIME_PHRASES)
+    if kind == "objective_change":
+        return any(phrase in text for phrase in fixed.OBJECTIVE_PHRASES.get(signal["aim"], ()))
+    if kind == "time_lag":
+        names, phrases = [f"t{signal['i']}", f"t{signal['j']}"], fixed.LAG_PHRASES.get(signal["relation"], fixed.LAG_PHRASES["FS"])
+    else:
+        names, phrases = [f"t{signal['activity']}"], fixed.MODE_PHRASES
+    return any(all(n in s for n in names) and any(re.search(p, s) for p in phrases) for s in sentences)
+
+
+def invented_downtime(text: str, sentences: list[str], model: dict) -> str | None:
+    """A resource that the text puts out of service and the model does not."""
+    resources = model.get("resources") or []
+    down = {r["id"].lower() for r in resources if r.get("downtime")}
+    for sentence in sentences:
+        if any(phrase in sentence for phrase in fixed.DOWNTIME_PHRASES):
+            for r in resources:
+                name = r["id"].lower()
+                if name not in down and re.search(rf"(?<![a-z0-9_]){re.escape(name)}(?![a-z0-9_])", sentence):
+                    return name
+    return None
+
+
+def consistency_of(disruption: str | None, model: dict, base: dict) -> str | None:
+    if disruption is None:
+        return "the text has no section on the disruption"
+    text = disruption.lower()
+    sentences = re.split(r"(?<=[.!?])\s+", text)
+    for signal in model_signals(model, base):
+        if not has_evidence(signal, text, sentences):
+            return f"the text does not tell of {signal['kind']} " + " ".join(str(v) for k, v in signal.items() if k != "kind")
+    name = invented_downtime(text, sentences, model)
+    return f"the text stops {name}, the model does not" if name else None

@@ -109,3 +109,30 @@ def test_times_of_graphs(cases):
 def test_no_activities(spark):
     rows = spark.createDataFrame([('{"type": "TYPE-A", "activities": [], "resources": [], "precedences": []}',), ("{}",)], "g string").select(F.from_json("g", GRAPH).alias("g"))
     assert [tuple(r) for r in rows.select(graphs.critical_path(F.col("g.activities"), F.col("g.precedences")), graphs.cycle_reason(F.col("g.activities"), F.col("g.precedences"))).collect()] == [(None, None)] * 2
+
+
+def test_consistency_gate(spark):
+    """Gate 6 against plain Python: random models, and texts that tell of some of what they have."""
+    from taskloom.functions import gates
+
+    draw, rows, want = random.Random(12), [], {}
+    lines = [
+        "Resource R1 is offline from hour 4.", "R2 a b c d e f g h i j offline", "R2 a b c d e f g h i j k offline", "Maintenance blocked the R2 of today", "r1, offline!", "NR1 drops to 3.", "Team R10 is down.",
+        "Between T2 and T3 a waiting period holds.", "T2 and T3 must wait.", "T2, T3 and T4 start together? Simultaneously", "T3 and T4 finish together.", "T3 and T5 must wait! T2", "A penalty for each late day.", "There is a buffer.", "The budget counts.",
+        "T2 is forced to its remaining modes.", "T3 cannot use the fast mode.", "T12 is restricted to one.", "Nothing else.",
+    ]
+    for k in range(700):
+        base = random_graph(draw, draw.choice(["TYPE-A", "TYPE-B", "TYPE-C"]))
+        try:
+            model = plain.mutate(base, [random_spec(draw, base) for _ in range(draw.choice([0, 1, 1, 2]))])
+        except (plain.Refused, KeyError, TypeError):
+            continue
+        part = draw.choice([" ", "\n"]).join(draw.choice(lines) for _ in range(draw.randint(1, 4))) if k % 20 else None
+        text = "CONTEXT: x" + ("" if part is None else f"\n\nDISRUPTION:{part}\n\nR1 is offline")
+        rows.append((k, text, json.dumps(model), json.dumps(base)))
+        want[k] = plain.consistency_of(part, model, base)
+    table = spark.createDataFrame(rows, "k int, p string, m string, b string").select("k", "p", F.from_json("m", GRAPH).alias("m"), F.from_json("b", GRAPH).alias("b"))
+    got = {r.k: r.reason for r in table.select("k", gates.consistency_reason(F.col("p"), F.col("m"), F.col("b")).alias("reason")).collect()}
+    kinds = {"pass" if r is None else r.split()[-2] if "tell" not in r else r.split()[6] for r in want.values()}
+    assert {k: r and r.lower() for k, r in got.items()} == {k: r and r.lower() for k, r in want.items()}
+    assert kinds >= {"pass", "downtime", "time_lag", "mode_restriction", "objective_change"} and any(r and "stops" in r for r in want.values())
