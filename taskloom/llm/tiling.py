@@ -8,6 +8,7 @@ the longest common runs of words that are not yet marked, marks them as tiles an
 from __future__ import annotations
 
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -48,14 +49,21 @@ def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[i
         if longest > 2 * size and size < min(len(item), len(text)):
             size = longest
             continue
-        for p, t, n in sorted(matches, key=lambda m: (-m[2], m[0], m[1])):
-            if free_item[p : p + n].all() and free_text[t : t + n].all():
-                free_item[p : p + n] = free_text[t : t + n] = False
-                tiles.append((p, t, n))
-        if size == least and not matches:
-            return tiles
+        queue = [(-n, p, t) for p, t, n in matches]
+        heapify(queue)
+        while queue:
+            n, p, t = heappop(queue)
+            free = free_item[p : p - n] & free_text[t : t - n]
+            if free.all():
+                free_item[p : p - n] = free_text[t : t - n] = False
+                tiles.append((p, t, -n))
+            else:  # a longer one covers a part; what is left takes its turn by its own length
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
+                for low, high in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                    if high - low >= size:
+                        heappush(queue, (low - high, p + low, t + low))
         if size == least:
-            continue  # matches that were in part covered by longer ones may have left shorter ones
+            return tiles
         size = max(least, size // 2)
 
 

@@ -140,16 +140,31 @@ def test_tiling_finds_reordered_passages(spark):
     assert tiling.tile_coverage(spark, docs.where("false"), bench).count() == tiling.tile_coverage(spark, docs, bench.where("false")).count() == 0
 
 
-def test_tiles_against_brute_force():
-    for _ in range(200):
-        a, b = (np.array([RND.randrange(3) for _ in range(RND.randrange(0, 14))], np.uint64) for _ in range(2))
-        tiles = tiling.greedy_tiles(a, b, 2)
-        used_a, used_b = [x for p, _, n in tiles for x in range(p, p + n)], [x for _, t, n in tiles for x in range(t, t + n)]
-        assert len(set(used_a)) == len(used_a) and len(set(used_b)) == len(used_b)
-        assert all((a[p : p + n] == b[t : t + n]).all() for p, t, n in tiles)
-        least = max(1, min(2, len(a)))
-        free = lambda x, used, n: [k for k in range(len(x) - n + 1) if not set(range(k, k + n)) & set(used)]
-        assert not any((a[p : p + least] == b[t : t + least]).all() for p in free(a, used_a, least) for t in free(b, used_b, least)) or not len(a)
+def plain_tiling(a, b, least):
+    """Greedy string tiling: again and again the longest common run of unmarked words, the first of equals, is marked."""
+    free_a, free_b, tiles = [True] * len(a), [True] * len(b), []
+    least = max(1, min(least, len(a)))
+    while True:
+        best = (least - 1, 0, 0)
+        for p in range(len(a)):
+            for t in range(len(b)):
+                n = 0
+                while p + n < len(a) and t + n < len(b) and free_a[p + n] and free_b[t + n] and a[p + n] == b[t + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, p, t)
+        n, p, t = best
+        if n < least:
+            return tiles
+        tiles.append((p, t, n))
+        free_a[p : p + n] = free_b[t : t + n] = [False] * n
+
+
+def test_tiles_equal_plain_greedy_tiling():
+    for k in range(3000):
+        a, b = (np.array([RND.randrange(2 + k % 3) for _ in range(RND.randrange(0, 40 if k % 10 == 0 else 14))], np.uint64) for _ in range(2))
+        least = RND.randrange(1, 5)
+        assert tiling.greedy_tiles(a, b, least) == plain_tiling(a.tolist(), b.tolist(), least)
 
 
 @pytest.mark.parametrize("salt_rows", [1, 3, 1000])
