@@ -199,6 +199,24 @@ def test_solver():
     assert solve_project(late)["objective"] == 4.0
 
 
+def test_mode_search_against_brute_force():
+    from itertools import product
+
+    from taskloom.operators.solver import Budget, _within_budgets
+
+    rnd = random.Random(8)
+    for _ in range(400):
+        caps = [rnd.randint(0, 9) for _ in range(rnd.randint(1, 2))]
+        uses = [[[rnd.randint(0, 5) for _ in caps] for _ in range(rnd.randint(1, 3))] for _ in range(rnd.randint(0, 6))]
+        fits = [pick for pick in product(*(range(len(o)) for o in uses)) if all(sum(uses[k][m][b] for k, m in enumerate(pick)) <= cap for b, cap in enumerate(caps))]
+        got = _within_budgets(uses, caps, Budget(10**6))
+        assert (got is None) == (not fits) and (got is None or tuple(got) == fits[0])
+    assert _within_budgets([[[1]] * 3] * 40, [39], Budget(100)) is None
+    big = {"type": "TYPE-B", "activities": [{"id": k, "modes": [{"mode_id": m + 1, "duration": 2 + m, "renewable_demands": {"R1": 1}, "nonrenewable_demands": {"NR1": 3 - m}} for m in range(3)]} for k in range(9)], "resources": [{"id": "R1", "capacity": 2, "type": "renewable"}, {"id": "NR1", "capacity": 10, "type": "nonrenewable"}], "precedences": []}
+    assert solve_project(big)["status"] in ("feasible", "optimal") and solve_project(big) == solve_project(big)
+    assert solve_project({**big, "resources": [big["resources"][0], {"id": "NR1", "capacity": 8, "type": "nonrenewable"}]})["status"] == "unknown"
+
+
 def test_provider_replies(spark):
     reply = spark.createDataFrame([('```json\n{"narrative_sketch": "s", "mutations": [{"op": "freeze_resource", "resource": "R1"}]}\n```',), ("no json",)], "r string")
     got = reply.select(providers.parse_specs(F.col("r")).alias("s")).collect()
