@@ -28,11 +28,11 @@ from .words import byte_classes, cut_words
 
 CLASSES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 WORDS = 4
-KEYS_HELD = 1 << 21
-PARTITION_KEYS = 3_000_000
+KEYS_HELD = 1 << 20
+PARTITION_KEYS = 1_500_000
 
 
-def text_blocks(spark: SparkSession, docs: DataFrame, size: int = 8 << 20) -> DataFrame:
+def text_blocks(spark: SparkSession, docs: DataFrame, size: int = 4 << 20) -> DataFrame:
     """block, lang, n_words, words (distinct), counts, stream: twice the word's place, plus 1 at the start of a piece."""
 
     def run(batches):
@@ -134,6 +134,7 @@ def id_windows(spark: SparkSession, blocks: DataFrame, words: DataFrame) -> Data
 
         def flush():
             keys = np.concatenate(held)
+            held.clear()
             keys, n = counted(keys, np.ones(len(keys), np.int64))
             for k in range(0, len(keys), 1 << 16):
                 yield pa.RecordBatch.from_arrays([_packed(keys[k : k + (1 << 16)]), pa.array(n[k : k + (1 << 16)])], ["key", "n"])
@@ -148,7 +149,7 @@ def id_windows(spark: SparkSession, blocks: DataFrame, words: DataFrame) -> Data
                 total += len(held[-1])
                 if total >= KEYS_HELD:
                     yield from flush()
-                    held, total = [], 0
+                    total = 0
         if held:
             yield from flush()
 
