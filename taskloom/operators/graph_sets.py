@@ -1,16 +1,49 @@
-"""Times of many graphs at once, over tables of activities and edges: rounds of joins with one aggregation each.
+"""Times of many graphs at once, over tables of activities and edges.
 
-Graphs of any size fit, as no row holds a whole graph; a graph leaves the rounds when it stands still, so their number
-follows the deepest graph and their size the graphs that still move.
+Graphs of any size fit: those of up to IN_A_ROW activities and edges are grouped into a row by one shuffle and done there;
+larger ones, which no row should hold, go through rounds of joins with one aggregation each. Such a graph leaves the
+rounds when it stands still, so their number follows the deepest graph and their size the graphs that still move.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.graphs import distances, layers, let, positive_cycle
+from ..schema import ACTIVITY, EDGE
 from ..sources.staging import dropped, staged
 
+IN_A_ROW = 48
+
+
+def _by_size(days: DataFrame, edges: DataFrame, graph: str, node: Column, edge: Column, most: int):
+    """Rows of graph, nodes, edges of the graphs of at most so many of both, and the days and edges of the others, if any.
+
+    Edges of no graph are left out, and what has edges only is no graph.
+    """
+    edges = edges.where(F.col(graph).isNotNull())
+    large = edges.select(graph).unionAll(days.select(graph)).groupBy(graph).agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.col(graph).alias("_large"))
+    large = staged(large, "large")
+    rest = None
+    if not large.isEmpty():
+        theirs = F.col(graph).eqNullSafe(F.col("_large"))
+        rest = days.join(large, theirs, "left_semi"), edges.join(large, theirs, "left_semi")
+        days, edges = days.join(large, theirs, "left_anti"), edges.join(large, theirs, "left_anti")
+    kind = lambda of, c: of.select(c).schema[0].dataType
+    no_node, no_edge = F.lit(None).cast(kind(days, node)), F.lit(None).cast(kind(edges, edge))
+    both = days.select(graph, node.alias("node"), no_edge.alias("edge")).unionAll(edges.select(graph, no_node.alias("node"), edge.alias("edge")))
+    return both.groupBy(graph).agg(F.collect_list("node").alias("nodes"), F.collect_list("edge").alias("edges")).where(F.size("nodes") > 0), rest
+
+
+def infeasible_graphs(days: DataFrame, edges: DataFrame, graph: str, most: int = IN_A_ROW) -> DataFrame:
+    """graph, infeasible: some cycle of the distances of edges (graph, i, j, relation, lag_min, lag_max) between
+    activities (graph, id, duration) has a positive length."""
+    node = F.struct("id", "duration", F.lit(None).alias("demands"), F.lit(None).alias("modes")).cast(ACTIVITY)
+    rows, rest = _by_size(days, edges, graph, node, F.struct("i", "j", "relation", "lag_min", "lag_max").cast(EDGE), most)
+    out = rows.select(graph, let(distances(F.col("nodes"), F.col("edges")), lambda e: positive_cycle(F.col("nodes"), e)).alias("infeasible"))
+    return out if rest is None else out.unionAll(positive_cycles(rest[0], distance_table(rest[1], rest[0], graph), graph))
+
 
 def distance_table(edges: DataFrame, days: DataFrame, graph: str) -> DataFrame:
     """graph, source, target, weight: start-to-start distances of edges (graph, i, j, relation, lag_min, lag_max) by the
@@ -53,8 +86,19 @@ def positive_cycles(days: DataFrame, distances: DataFrame, graph: str) -> DataFr
     return size.select(graph).join(bad.withColumn("infeasible", F.lit(True)), graph, "left").select(graph, F.coalesce("infeasible", F.lit(False)).alias("infeasible"))
 
 
-def critical_paths(days: DataFrame, edges: DataFrame, graph: str) -> DataFrame:
-    """graph, length: the longest chain of durations, edges (graph, i, j) read finish to start without lags.
+def critical_paths(days: DataFrame, edges: DataFrame, graph: str, most: int = IN_A_ROW) -> DataFrame:
+    """graph, length: the longest chain of durations, edges (graph, i, j) read finish to start without lags."""
+    rows, rest = _by_size(days, edges, graph, F.struct("id", F.col("duration").cast("long").alias("days")), F.struct("i", "j"), most)
+    ids = F.transform("nodes", lambda a: a["id"])
+    at = lambda k: F.array_position(ids, k).cast("int")
+    places = F.transform("edges", lambda e: F.struct(at(e["i"]).alias("i"), at(e["j"]).alias("j")))
+    known = F.filter(places, lambda e: (e["i"] > 0) & (e["j"] > 0))
+    out = rows.select(graph, let(known, lambda e: F.array_max(layers(F.transform("nodes", lambda a: a["days"]), e)["finish"])).alias("length"))
+    return out if rest is None else out.unionAll(layered_paths(*rest, graph))
+
+
+def layered_paths(days: DataFrame, edges: DataFrame, graph: str) -> DataFrame:
+    """The critical paths of graphs of any size, by rounds.
 
     Activities leave in layers, each when all before it have left. What lies on a cycle, or after one, keeps what it has
     so far, which counts.

@@ -31,3 +31,21 @@ def test_random_graphs(spark):
     none = d.limit(0)
     assert graph_sets.positive_cycles(none, graph_sets.distance_table(e, none, "g"), "g").collect() == []
     assert graph_sets.critical_paths(none, e, "g").collect() == []
+
+
+def test_rows_and_rounds_agree(spark):
+    draw = random.Random(4)
+    days, edges = [], []
+    for g in range(60):
+        n = draw.randint(1, 6)
+        days += [(g, k, draw.randint(1, 5)) for k in range(1, n + 1)]
+        edges += [(g, draw.randint(1, n + 1), draw.randint(1, n + 1), draw.choice(fixed.RELATIONS), draw.randint(-9, 3), draw.choice([None, 4])) for _ in range(draw.randint(0, 8))]
+    edges += [(None, 1, 2, "FS", 1, None), (99, 1, 1, "FS", 1, None)]
+    d = spark.createDataFrame(days, "g int, id int, duration int").repartition(2)
+    e = spark.createDataFrame(edges, "g int, i int, j int, relation string, lag_min int, lag_max int").repartition(2)
+    cycles, paths = [], []
+    for most in (0, 7, 48):  # all by rounds, some in a row, all in a row
+        cycles.append(sorted(graph_sets.infeasible_graphs(d, e, "g", most).collect()))
+        paths.append(sorted(graph_sets.critical_paths(d, e, "g", most).collect()))
+    assert cycles[0] == cycles[1] == cycles[2] and len(cycles[0]) == 60 and 5 < sum(r.infeasible for r in cycles[0]) < 55
+    assert paths[0] == paths[1] == paths[2] and len(paths[0]) == 60
