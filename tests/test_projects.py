@@ -262,3 +262,22 @@ def test_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("gated").first().reason == "1 words, at least 50 are needed"
+
+
+def test_rules_end_at_the_bound(monkeypatch):
+    """A schedule that meets the bound ends the search; what the rules share is made once for an assignment of modes."""
+    from taskloom.operators import solver
+
+    made, tried = [], []
+    init, by = solver._Schedules.__init__, solver._Schedules.by
+    monkeypatch.setattr(solver._Schedules, "__init__", lambda self, *a: (made.append(1), init(self, *a))[1])
+    monkeypatch.setattr(solver._Schedules, "by", lambda self, rule: (tried.append(rule), by(self, rule))[1])
+    acts = [{"id": k, "duration": 10 * k, "demands": {"R1": 1 + k % 2}, "modes": None} for k in (1, 2, 3)]
+    model = {"activities": acts, "resources": [{"id": "R1", "capacity": 2, "type": "renewable", "downtime": []}], "precedences": [], "objective": {"type": "minimize_makespan"}}
+    assert solver.solve_project(model)["objective"] == 60.0 and len(made) == 1
+    tried.clear()
+    free = {**model, "activities": [{**a, "demands": {"R1": 0}} for a in acts]}
+    assert solver.solve_project(free) == {"status": "optimal", "objective": 30.0, "schedule": {"1": 0, "2": 0, "3": 0}, "best_bound": 30.0} and len(tried) == 1
+    odd = {**free, "resources": [{**model["resources"][0], "downtime": [{"start": 0, "end": 9, "delta": -2}]}]}
+    tried.clear()
+    assert solver.solve_project(odd)["objective"] == 30.0 and len(tried) == 6
