@@ -136,3 +136,15 @@ def test_consistency_gate(spark):
     kinds = {"pass" if r is None else r.split()[-2] if "tell" not in r else r.split()[6] for r in want.values()}
     assert {k: r and r.lower() for k, r in got.items()} == {k: r and r.lower() for k, r in want.items()}
     assert kinds >= {"pass", "downtime", "time_lag", "mode_restriction", "objective_change"} and any(r and "stops" in r for r in want.values())
+
+
+def test_specs_are_made_once(spark):
+    """The expression that makes the specs stands once in a validated mutation, however often they are looked at."""
+    from pyspark.sql import functions as F
+    from taskloom.operators.validation import validated_mutation
+    from taskloom.schema import GRAPH, SPEC
+
+    rows = spark.createDataFrame([("{}", "[]")], "g string, s string").select(F.from_json("g", GRAPH).alias("g"), "s")
+    made = rows.select(validated_mutation(F.col("g"), F.from_json("s", f"array<{SPEC}>")).alias("made"))
+    assert made._jdf.queryExecution().analyzed().toString().count("from_json") == 2  # the graph, and the specs
+    assert made.first().made.reason == "no mutations"
