@@ -281,3 +281,13 @@ def test_rules_end_at_the_bound(monkeypatch):
     odd = {**free, "resources": [{**model["resources"][0], "downtime": [{"start": 0, "end": 9, "delta": -2}]}]}
     tried.clear()
     assert solver.solve_project(odd)["objective"] == 30.0 and len(tried) == 6
+
+
+def test_signatures_of_texts(spark):
+    """The signature made from the text is that of its array of shingles, on odd texts and in both modes."""
+    long = " ".join(f"w{k % 700}" for k in range(5000))
+    texts = [None, "", " ", "one", "One  two", "a b c", " a\u00a0B\u2003c\td\n", "x x x x x x", "\u0130stanbul \u00c9\u00e9 \u4e2d\u6587 \U0001f600", long]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").repartition(3)
+    for mode in ("compat", "mixed"):
+        want = {r.k: r.s for r in minhash.with_shingles(rows, "t").select("k", minhash.signature_column(F.col("shingles"), mode).alias("s")).collect()}
+        assert {r.k: r.s for r in rows.select("k", minhash.text_signature(F.col("t"), mode).alias("s")).collect()} == want
